@@ -7,13 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import epoch_sample, term_counts, topn
+from sightline.llm import epoch_sample, repetition, sentences, term_counts, topn
+from sightline.llm.common import caption_texts, spread
 from sightline.sources import table
 
 SAMPLE_SEED = 20250101
 SAMPLE_RATES = {0: 0.1}
 
 
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    manifest = table(spark, d, "manifest", "image_id", "dataset", "caption")
+    return caption_texts(manifest, table(spark, d, "expression_drafts", "expression_id", "writer_model", "expression"))
+
+
+def p1_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Every distinct text of a record with its share of repeated words and its verdict."""
+    judged = repetition.judge(_texts(spark, d), "text")
+    return judged.select("record_table", "record_id", "text", "repeated_share", "repetitive").distinct()
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return repetition.judge(_texts(spark, d), "text").filter("repetitive").select("record_table", "record_id").distinct()
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     grounded = table(spark, d, "grounded_entities", "region_id", "image_id", "grounder_support", "median_pairwise_iou", "recorded_at", "ingested_at")
     return topn.best_regions(grounded, table(spark, d, "route_b", "image_id")).select("image_id", "place", "region_id")
@@ -41,8 +57,21 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return _terms(spark, d).filter("mark is not null").select(F.col("field").alias("field_name"), "term", "mark")
 
 
+def _documents(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return spread(table(spark, d, "documents", *columns))
+
+
+def p8_sentences(spark: SparkSession, d: str) -> DataFrame:
+    """Every sentence unit with its place and text."""
+    return sentences.split_sentences(_documents(spark, d, "doc_id", "text"), "doc_id", "text", restore=True)
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.split_sentences(_documents(spark, d, "doc_id", "text"), "doc_id", "text").drop("place").distinct()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p4_sample, p5_terms, p5_found)}
+    return {f.__name__: f for f in (p1_shares, p1_found, p2_found, p4_sample, p5_terms, p5_found, p8_sentences, p8_found)}
 
 
 _P2 = """
