@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import epoch_sample, repetition, sentences, term_counts, topn
+from sightline.llm import epoch_sample, leakage, mixing, repetition, sentences, term_counts, topn
 from sightline.llm.common import caption_texts, spread
 from sightline.sources import table
 
@@ -61,6 +61,34 @@ def _documents(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return spread(table(spark, d, "documents", *columns))
 
 
+def p6_leaks(spark: SparkSession, d: str) -> DataFrame:
+    """Every leaked item with the longest exact run and the share of the passage that stands in order."""
+    return leakage.find_leaks(_documents(spark, d, "doc_id", "text"), table(spark, d, "eval_items", "item_id", "passage"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return p6_leaks(spark, d).select("doc_id", "item_id")
+
+
+def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    sizes = mixing.sized(_documents(spark, d, "doc_id", "source", "lang", "text"))
+    return sizes, mixing.fit(sizes, table(spark, d, "mix_targets"))
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    """Size, goal, tokens and share reached of every source of every mix."""
+    return mixing.report(*_mix(spark, d))
+
+
+def p7_members(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of every mix with their uses."""
+    return mixing.members(*_mix(spark, d))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d)[1].filter("short").select("mix_id", "source").distinct()
+
+
 def p8_sentences(spark: SparkSession, d: str) -> DataFrame:
     """Every sentence unit with its place and text."""
     return sentences.split_sentences(_documents(spark, d, "doc_id", "text"), "doc_id", "text", restore=True)
@@ -71,7 +99,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_shares, p1_found, p2_found, p4_sample, p5_terms, p5_found, p8_sentences, p8_found)}
+    return {f.__name__: f for f in (p1_shares, p1_found, p2_found, p4_sample, p5_terms, p5_found, p6_leaks, p6_found, p7_report, p7_members, p7_found, p8_sentences, p8_found)}
 
 
 _P2 = """
