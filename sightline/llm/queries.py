@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sightline.llm import epoch_sample, leakage, mixing, repetition, sentences, term_counts, topn
+from sightline.llm import epoch_sample, leakage, mixing, repetition, sentences, term_counts, topn, truncation
 from sightline.llm.common import caption_texts, spread
 from sightline.sources import table
 
@@ -35,6 +35,17 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return topn.best_regions(grounded, table(spark, d, "route_b", "image_id")).select("image_id", "place", "region_id")
 
 
+def p3_rates(spark: SparkSession, d: str) -> DataFrame:
+    """For every dataset and writer model how many of its texts there are and how many of them are cut."""
+    judged = truncation.score_all(spread(_texts(spark, d)), "record_table", "text")
+    return judged.filter("text is not null").groupBy("record_table", "origin").agg(F.count("*").alias("texts"), F.sum(F.col("cut").cast("bigint")).alias("cut_texts"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    judged = truncation.score_all(spread(_texts(spark, d)), "record_table", "text")
+    return judged.filter("cut").select("record_table", "record_id").distinct()
+
+
 def p4_sample(spark: SparkSession, d: str) -> DataFrame:
     """Every chosen image with its first delivery, frozen rate and draw."""
     ledger = epoch_sample.first_seen(table(spark, d, "manifest", "image_id", "batch_no"), "image_id", "batch_no", SAMPLE_RATES)
@@ -99,7 +110,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_shares, p1_found, p2_found, p4_sample, p5_terms, p5_found, p6_leaks, p6_found, p7_report, p7_members, p7_found, p8_sentences, p8_found)}
+    return {f.__name__: f for f in (p1_shares, p1_found, p2_found, p3_rates, p3_found, p4_sample, p5_terms, p5_found, p6_leaks, p6_found, p7_report, p7_members, p7_found, p8_sentences, p8_found)}
 
 
 _P2 = """
