@@ -54,12 +54,14 @@ def with_statistics(df: DataFrame, text: str) -> DataFrame:
     )
     n = F.size("_words")
     share = lambda top, bottom, default: F.when(bottom > 0, top / bottom).otherwise(F.lit(default))
-    return d.withColumns({
+    statistics = {
         "n_words": n.cast("double"),
         "repeated_share": share(covered, n, 0.0),
         "distinct_share": share(F.size(F.array_distinct("_words")), n, 1.0),
         "distinct_runs": share(F.size(F.array_distinct(F.transform("_runs", lambda x: x["h"]))), F.size("_runs"), 1.0),
-    }).drop("_words", "_runs", "_sorted", "_again")
+    }
+    # The generator of one row keeps later filters above it; pushed below, they would compute the lists once per use.
+    return d.select(*df.columns, F.inline(F.array(F.struct(*[v.alias(k) for k, v in statistics.items()]))))
 
 
 def plain_words(text: str | None) -> list[str]:
