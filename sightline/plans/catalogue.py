@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sightline.plans import consensus
+
 Query = Callable[[SparkSession, str], DataFrame]
+_MODULES = [consensus]
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {f.__name__: f for m in _MODULES for f in m.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for m in _MODULES for k, v in m.SQL.items()}
