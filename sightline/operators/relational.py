@@ -9,12 +9,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sightline.session import written
+
 
 def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str = "place") -> DataFrame:
     """Rows numbered 1..n within each key."""
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
+def numbered_spread(df: DataFrame, keys: list[str], order: list[Column], name: str = "place") -> DataFrame:
+    """As ``numbered`` for keys of any size: no task holds a whole key.
+
+    The rows are range-partitioned by key and order and stored; each part is numbered by itself and gets the number of
+    its key's rows in the parts before it. ``order`` must be total.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *[F.col(k).asc_nulls_first() for k in keys], *order).withColumn("_part", F.spark_partition_id())
+    stored = written(ranged, "ranged")
+    by = [*keys, "_part"]
+    counts = stored.groupBy(*by).agg(F.count("*").alias("_c"))  # per key at most one row per part
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0))).drop("_c")
+    own = stored.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"o.{k}")) for k in by]
+    joined = own.alias("r").join(offsets.alias("o"), same)
+    return joined.select(*[F.col(f"r.{c}") for c in df.columns], (F.col("r._n") + F.col("o._before")).cast("int").alias(name))
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the first in ``order``. Only the best row of each task crosses the shuffle (window group limit)."""
     return numbered(df, keys, order, "_n").filter("_n = 1").drop("_n")
@@ -26,8 +48,11 @@ def latest_per_key(df: DataFrame, keys: list[str], version: str, arrival: list[C
 
 
 def capped(df: DataFrame, keys: list[str], order: list[Column], limit: int | None, stage: str = "final_cap", reason: str = "per_source_cap") -> DataFrame:
-    """All rows with ``place``, ``kept`` and, for those past ``limit``, stage and reason. A null limit keeps all."""
-    d = numbered(df, keys, order)
+    """All rows with ``place``, ``kept`` and, for those past ``limit``, stage and reason. No limit keeps all.
+
+    ``order`` must be total; keys may be of any size.
+    """
+    d = numbered_spread(df, keys, order)
     kept = F.lit(True) if limit is None else F.col("place") <= limit
     return d.withColumn("kept", kept).withColumn("reject_stage", F.when(~F.col("kept"), stage)).withColumn("reject_reason", F.when(~F.col("kept"), reason))
 

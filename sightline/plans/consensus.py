@@ -242,9 +242,9 @@ SELECT s.image_id, s.category, cluster_count, target_count, CASE WHEN b.hit THEN
 FROM summed s JOIN best b ON b.image_id = s.image_id AND b.category = s.category AND b.n = 1""",
     "repair_top2": X.with_views("det", "size") + f""", top AS (SELECT d.*, width, height, row_number() OVER (PARTITION BY d.image_id, category ORDER BY (x2 - x1) * (y2 - y1) DESC, det_no) AS n
     FROM det d JOIN size s ON s.image_id = d.image_id QUALIFY n = 1),
-  small AS (SELECT a.image_id, a.category, a.det_no, a.x1, a.y1, a.x2, a.y2, row_number() OVER (PARTITION BY a.image_id, a.category, a.x1, a.y1, a.x2, a.y2 ORDER BY a.det_no) AS n
+  small AS (SELECT a.image_id, a.category, a.det_no, a.x1, a.y1, a.x2, a.y2, row_number() OVER (PARTITION BY a.image_id, a.category, a.x1, a.y1, a.x2, a.y2 ORDER BY a.det_no) AS nth
     FROM det a JOIN top c ON a.image_id = c.image_id AND a.category = c.category WHERE {X.area('a')} < {X.area('c')} AND {X.containment('a', 'c')} >= 0.98
-    AND {X.area('a')} / CAST(width * height AS DOUBLE) >= 0.00001 AND {X.area('a')} / CAST(width * height AS DOUBLE) <= 0.1 QUALIFY n = 1),
+    AND {X.area('a')} / CAST(width * height AS DOUBLE) >= 0.00001 AND {X.area('a')} / CAST(width * height AS DOUBLE) <= 0.1 QUALIFY nth = 1),
   backed AS (SELECT f.image_id, f.category, f.det_no, f.x1, f.y1, f.x2, f.y2, count(DISTINCT s.grounder) AS support FROM small f JOIN det s
     ON f.image_id = s.image_id AND f.category = s.category AND {X.iou('f', 's')} >= 0.5 GROUP BY ALL HAVING count(DISTINCT s.grounder) >= 2)
 SELECT image_id, category, det_no, support, CAST(row_number() OVER (PARTITION BY image_id, category ORDER BY support DESC, {X.area('b')}, det_no) AS INT) AS place FROM backed b QUALIFY place <= 2""",

@@ -1 +1 @@
-
+"""Replay of append logs as streams."""
