@@ -150,7 +150,7 @@ def build_index(documents: DataFrame, ids: dict[str, int]) -> DataFrame:
                         column.append(value)
             yield pa.record_batch([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.list_(pa.int32()))], names=["term", "row_no", "doc_id", "positions"])
 
-    rows = documents.filter("text is not null").select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "text")
+    rows = documents.filter("text is not null").select(F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return written(rows.mapInArrow(postings, _INDEX).sortWithinPartitions("term"), "postings")
 
 

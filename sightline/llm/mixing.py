@@ -76,7 +76,7 @@ def sized(documents: DataFrame, topic: Column | None = None, tokenizer: str | No
             n = [len(encode(t)) if t and not t.isspace() else 0 for t in batch["text"].to_pylist()]
             yield pa.record_batch([batch[k] for k in ("doc_id", "source", "lang", "topic")] + [pa.array(n, pa.int64())], names=["doc_id", "source", "lang", "topic", "tokens"])
 
-    keyed = documents.select("doc_id", source_key(F.col("source")).alias("source"), language_key(F.col("lang")).alias("lang"), (topic if topic is not None else topic_key(F.col("text"))).alias("topic"), "text")
+    keyed = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), source_key(F.col("source")).alias("source"), language_key(F.col("lang")).alias("lang"), (topic if topic is not None else topic_key(F.col("text"))).alias("topic"), "text")
     return written(keyed.filter("source is not null").mapInArrow(counted, "doc_id bigint, source string, lang string, topic string, tokens bigint"), "sized")
 
 
@@ -140,12 +140,13 @@ def fit(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """The cells of every mix with their expected uses (see ``rake``).
 
     Sources are compared trimmed and lower-cased. A source listed twice in one mix has the sum of its weights and the
-    larger cap (none if either has none); null and negative weights count as 0; targets without mix or source are left
+    larger cap (none if either has none); null, NaN and negative weights count as 0, negative caps as 0; targets without mix or source are left
     out. One mix has at most its listed sources times eleven languages and the topics as cells, and is raked in one task.
     """
-    weight = F.greatest(F.coalesce(F.col("target_share"), F.lit(0.0)), F.lit(0.0))
+    share = F.col("target_share").cast("double")
+    weight = F.when((share > 0) & ~F.isnan(share), share).otherwise(0.0)
     listed = (
-        targets.select("mix_id", source_key(F.col("source")).alias("source"), weight.alias("w"), F.col("max_repeats").cast("double").alias("m"))
+        targets.select("mix_id", source_key(F.col("source")).alias("source"), weight.alias("w"), F.when(F.col("max_repeats") < 0, 0.0).otherwise(F.col("max_repeats").cast("double")).alias("m"))
         .filter("mix_id is not null and source is not null")
         .groupBy("mix_id", "source")
         .agg(F.sum("w").alias("weight"), F.when(F.count("m") == F.count("*"), F.max("m")).alias("max_repeats"))

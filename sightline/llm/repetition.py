@@ -14,10 +14,11 @@ import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUN = 3  # words that must recur together
+LIMIT = 0.3  # share of repeated words from which a text has too much of them
 STATISTICS = ["repeated_share", "distinct_share", "distinct_runs", "n_words"]
 
 _TAG, _INVISIBLE = r"<[^<>]*>|&#?[A-Za-z0-9]+;", r"[\p{Cf}\x{34f}\x{fe00}-\x{fe0f}]"
@@ -37,11 +38,14 @@ def with_statistics(df: DataFrame, text: str) -> DataFrame:
     repeated_share: share of the words that lie in a run of three or more words that stood earlier in the text (runs may
     overlap, the first occurrence does not count); 0 for texts of fewer than four words, empty and null ones.
     distinct_share, distinct_runs: distinct among all words and among all runs of three; 1 where there are none.
-    The runs are found by sorting (run hash, position), so long texts cost n log n.
+    The runs are found by sorting (run hash, position), so long texts cost n log n. Columns of ``df`` with the names of the
+    statistics are replaced, all others stay.
     """
+    kept = [c for c in df.columns if c not in STATISTICS]
+    d = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), F.col(text).alias("_text"))
     last = F.size("_words") - RUN
     run_hash = lambda i: F.xxhash64(*[F.get("_words", i + k) for k in range(RUN)])
-    d = df.withColumn("_words", words_of(F.col(text)))
+    d = d.withColumn("_words", words_of(F.col("_text")))
     d = d.withColumn("_runs", F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(run_hash(i).alias("h"), i.alias("i")))).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
     d = d.withColumn("_sorted", F.sort_array("_runs"))
     again = F.transform("_sorted", lambda x, k: F.when((k > 0) & (F.get("_sorted", k - 1)["h"] == x["h"]), x["i"]))
@@ -61,7 +65,8 @@ def with_statistics(df: DataFrame, text: str) -> DataFrame:
         "distinct_runs": share(F.size(F.array_distinct(F.transform("_runs", lambda x: x["h"]))), F.size("_runs"), 1.0),
     }
     # The generator of one row keeps later filters above it; pushed below, they would compute the lists once per use.
-    return d.select(*df.columns, F.inline(F.array(F.struct(*[v.alias(k) for k, v in statistics.items()]))))
+    found = d.select("_row", F.inline(F.array(F.struct(*[v.alias(k) for k, v in statistics.items()]))))
+    return found.select("_row.*", *statistics)
 
 
 def plain_words(text: str | None) -> list[str]:
@@ -177,21 +182,34 @@ def as_expression(rules: list[Rule]) -> Column:
     return F.lit(0) if out is None else out.otherwise(0)
 
 
-def labelled_sample(rows: list[tuple]) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """Statistics and labels of sampled (text, statistics...) rows: positive from 30 % of repeated words."""
-    y = np.array([plain_share(r[0]) >= 0.3 for r in rows], bool)
-    return {name: np.array([float(r[1 + k]) for r in rows]) for k, name in enumerate(STATISTICS)}, y
+def labelled_sample(spark: SparkSession, sampled: list[str]) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Statistics and labels of the sampled texts and of copies with repeats put in: positive from 30 % repeated words.
 
-
-def judge(texts: DataFrame, text: str, sample_size: int = 6000, limit: float = 0.3) -> DataFrame:
+    The copies repeat the last words of a text between one and a few times, so that there are positives and near misses
+    whatever the sample holds.
+    """
+    rng = np.random.default_rng(0)
+    texts = list(sampled)
+    for t in sampled[:400]:
+        w = t.split()
+        if len(w) >= RUN:
+            k = int(rng.integers(RUN, min(len(w), 12) + 1))
+            texts.append(" ".join(w + w[-k:] * int(rng.integers(1, 7))))
+    rows = with_statistics(spark.createDataFrame([(t,) for t in texts], "t string"), "t").collect()
+    y = np.array([plain_share(r["t"]) >= LIMIT for r in rows], bool)
+    return {name: np.array([float(r[name]) for r in rows]) for name in STATISTICS}, y
+
+
+def judge(texts: DataFrame, text: str, sample_size: int = 6000) -> DataFrame:
     """``texts`` with statistics, ``rule`` (0: none) and ``repetitive``.
 
-    The list is learned from at most ``sample_size`` texts. A text is repetitive if a rule covers it and its measured
-    share confirms it. Null and empty texts are not. Extra columns stay.
+    The list is learned from at most ``sample_size`` distinct texts. A text is repetitive if a rule covers it and its
+    measured share confirms it. Null and empty texts are not; repeated rows are judged alike; an empty table gives an
+    empty one. Columns of these names are replaced, all others stay.
     """
     from sightline.llm.common import sample_rows
 
+    sampled = [r[0] for r in sample_rows(texts.select(F.col(text).alias("_t")).filter("_t is not null"), ["_t"], sample_size)]
+    rules = learn(*labelled_sample(texts.sparkSession, sampled)) if sampled else []
     measured = with_statistics(texts, text)
-    rows = sample_rows(with_statistics(texts.select(F.col(text).alias("_t")).filter("_t is not null"), "_t"), ["_t", *STATISTICS], sample_size)
-    rules = learn(*labelled_sample([tuple(r) for r in rows])) if rows else []
-    return measured.withColumn("rule", as_expression(rules)).withColumn("repetitive", (F.col("rule") > 0) & (F.col("repeated_share") >= limit))
+    return measured.withColumn("rule", as_expression(rules)).withColumn("repetitive", (F.col("rule") > 0) & (F.col("repeated_share") >= LIMIT))
