@@ -1,8 +1,11 @@
-"""Connected components of keyed graphs by least labels in rounds.
+"""Connected components.
 
-Each round every node takes the least label among its own and its neighbours', and then its label's label. Only nodes
-with an edge take part. A round is a join and an aggregation and is stored in the shared folder, so lineage stays short,
-a lost executor costs one round at most, and no task or driver holds a graph.
+Graphs of any size are labelled in rounds: every node takes the least label among its own and its neighbours', and then
+its label's label. Only nodes with an edge take part. A round is a join and an aggregation and is stored in the shared
+folder, so lineage stays short, a lost executor costs one round at most, and no task or driver holds a graph.
+
+Graphs that fall into many small keyed parts are labelled in one pass: the few edges of a key are folded by relabelling
+the larger of two joined sets. Keys of more than ``FOLD_EDGES`` edges go through the rounds.
 """
 
 from __future__ import annotations
@@ -12,6 +15,8 @@ from pyspark.sql import functions as F
 
 from sightline.session import written
 
+FOLD_EDGES = 2_000
+
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """node, component (the least node it is joined to) for every node of ``edges`` (a, b). Direction does not count.
@@ -30,3 +35,30 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if not new.filter("component <> old").limit(1).count():
             return labels
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+def keyed_components(edges: DataFrame, keys: list[str], fold_edges: int = FOLD_EDGES) -> DataFrame:
+    """keys, node, component for the nodes of ``edges`` (keys, a, b); components never leave their key.
+
+    Keys and ends must not be null.
+    """
+    stored = written(edges.select(*keys, "a", "b").filter("a <> b"), "edges")
+    large = stored.groupBy(*keys).count().filter(F.col("count") > fold_edges).drop("count")
+    has_large = large.limit(1).count() > 0
+    small = stored.join(large, keys, "left_anti") if has_large else stored
+    lists = small.groupBy(*keys).agg(F.collect_list(F.struct("a", "b")).alias("_e"))
+    nodes = F.array_distinct(F.concat(F.transform("_e", lambda e: e["a"]), F.transform("_e", lambda e: e["b"])))
+    start = F.transform(nodes, lambda n: F.struct(n.alias("node"), n.alias("component")))
+
+    def join(acc, e):
+        label = lambda v: F.get(F.filter(acc, lambda x: x["node"] == v), F.lit(0))["component"]
+        ends = F.array(F.struct(F.least(label(e["a"]), label(e["b"])).alias("lo"), F.greatest(label(e["a"]), label(e["b"])).alias("hi")))
+        relabelled = F.transform(ends, lambda p: F.transform(acc, lambda x: F.struct(x["node"].alias("node"), F.when(x["component"] == p["hi"], p["lo"]).otherwise(x["component"]).alias("component"))))
+        return F.get(relabelled, F.lit(0))
+
+    found = lists.select(*keys, F.inline(F.aggregate("_e", start, join)))
+    if not has_large:
+        return found
+    node = lambda c: F.struct(*keys, F.col(c).alias("_v"))
+    rest = components(stored.join(large, keys, "left_semi").select(node("a").alias("a"), node("b").alias("b")))
+    return found.unionByName(rest.select(*[F.col("node")[k].alias(k) for k in keys], F.col("node")["_v"].alias("node"), F.col("component")["_v"].alias("component")))

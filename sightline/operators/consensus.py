@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sightline.functions.geometry import area, box, iou, matches, size_columns, size_ratio
-from sightline.operators.components import components
+from sightline.operators.components import keyed_components
 from sightline.operators.folds import suppress
 from sightline.operators.spatial import overlapping_pairs
 from sightline.session import written
@@ -49,12 +49,15 @@ def matched_pairs(detections: DataFrame, keys: list[str], row: str, rules: Rules
     return pairs.select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col(f"a.{row}").alias("first"), F.col(f"b.{row}").alias("second"))
 
 
-def clustered(detections: DataFrame, keys: list[str], row: str, rules: Rules = Rules()) -> DataFrame:
-    """``detections`` with ``cluster``: the least row of the component each belongs to."""
-    node = lambda r: F.struct(*keys, F.col(r).alias(row))
-    labels = components(matched_pairs(detections, keys, row, rules).select(node("first").alias("a"), node("second").alias("b")))
-    flat = labels.select(*[F.col("node")[k].alias(k) for k in keys], F.col("node")[row].alias(row), F.col("component")[row].alias("_least"))
-    return detections.join(flat, [*keys, row], "left").withColumn("cluster", F.coalesce("_least", F.col(row))).drop("_least")
+def clustered(detections: DataFrame, keys: list[str], row: str, rules: Rules = Rules(), alone: bool = True) -> DataFrame:
+    """``detections`` with ``cluster``: the least row of the component each belongs to.
+
+    Without ``alone``, detections that match none are left out; they can only be clusters of one detector.
+    """
+    edges = matched_pairs(detections, keys, row, rules).withColumnsRenamed({"first": "a", "second": "b"})
+    labels = keyed_components(edges, keys).withColumnsRenamed({"node": row, "component": "_least"})
+    joined = detections.join(labels, [*keys, row], "left" if alone else "inner")
+    return joined.withColumn("cluster", F.coalesce("_least", F.col(row))).drop("_least")
 
 
 def cluster_statistics(members: DataFrame, keys: list[str], row: str, rules: Rules = Rules()) -> DataFrame:
@@ -108,7 +111,8 @@ def instances(detections: DataFrame, images: DataFrame, keys: list[str], row: st
     Instances that another, better supported one covers are dropped; the rest are numbered from top to bottom, then left
     to right. ``images`` (with image_id, width, height) is joined only if ``sized``.
     """
-    members = written(clustered(written(thinned(detections, keys, row, rules), "thinned"), keys, row, rules), "members")
+    thin = written(thinned(detections, keys, row, rules), "thinned")
+    members = written(clustered(thin, keys, row, rules, alone=rules.min_support < 2), "members")
     stats = cluster_statistics(members, keys, row, rules).filter(F.col("support") >= rules.min_support)
     found = stats.join(representatives(members, keys, row, rules), [*keys, "cluster"])
     if sized:

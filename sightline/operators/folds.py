@@ -31,7 +31,8 @@ def _fold(df: DataFrame, keys: list[str], rank: str, like: Callable[[Column, Col
         first = F.get(F.filter(done, lambda k: k["winner"].isNull() & like(k["row"], x)), F.lit(0))
         return F.concat(done, F.array(F.struct(x.alias("row"), first["row"]["_r"].alias("winner"))))
 
-    folded = rows.select(*keys, F.explode(F.aggregate("_rows", empty, step)).alias("_x"))
+    alone = F.array(F.struct(F.get("_rows", F.lit(0)).alias("row"), F.lit(None).cast(kind[rank]).alias("winner")))
+    folded = rows.select(*keys, F.explode(F.when(F.size("_rows") == 1, alone).otherwise(F.aggregate("_rows", empty, step))).alias("_x"))
     return folded.select(*keys, *[F.col("_x.row")[c].alias(c) for c in columns], F.col("_x.winner").alias("winner"))
 
 

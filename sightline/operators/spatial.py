@@ -83,14 +83,13 @@ def competitors(df: DataFrame, image: str, row: str, k: int = 8, min_containment
     nearest (1); within them by distance, then row. ``df`` has category, query, the box, width and height.
     """
     c = df.withColumn("_words", F.array_distinct(F.split(F.lower(F.trim(F.coalesce("query", F.lit("")))), r"\s+")))
-    near = nearest(df, image, row, k).select(image, row, "other", F.lit(1).alias("_near"))
     a, b = c.alias("a"), c.alias("b")
     pairs = a.join(b, [F.col(f"a.{image}") == F.col(f"b.{image}"), F.col(f"a.{row}") != F.col(f"b.{row}")])
     d = center_distance(box("a."), box("b."), F.col("a.width"), F.col("a.height"))
     shared = F.coalesce(F.col("a.category") == F.col("b.category"), F.lit(False)) | F.arrays_overlap(F.array_remove("a._words", ""), F.array_remove("b._words", ""))
     over = F.greatest(containment(box("a."), box("b.")), containment(box("b."), box("a."))) >= min_containment
-    flat = pairs.select(F.col(f"a.{image}").alias(image), F.col(f"a.{row}").alias(row), F.col(f"b.{row}").alias("other"), shared.alias("_shared"), over.alias("_over"), d.alias("_d"))
-    chosen = flat.join(near, [image, row, "other"], "left").filter("_shared or _over or _near = 1")
-    priority = F.when(F.col("_shared"), 0).otherwise(1)
-    order = Window.partitionBy(image, row).orderBy("priority", "_d", "other")
-    return chosen.withColumn("priority", priority).withColumn("place", F.row_number().over(order)).select(image, row, "other", "priority", "place")
+    flat = pairs.select(F.col(f"a.{image}").alias(image), F.col(f"a.{row}").alias(row), F.col(f"b.{row}").alias("other"), F.when(shared, 0).otherwise(1).alias("priority"), over.alias("_over"), d.alias("_d"))
+    by_row = Window.partitionBy(image, row)
+    ranked = flat.withColumn("_near", F.row_number().over(by_row.orderBy("_d", "other")))
+    chosen = ranked.filter((F.col("priority") == 0) | F.col("_over") | (F.col("_near") <= k))
+    return chosen.withColumn("place", F.row_number().over(by_row.orderBy("priority", "_d", "other"))).select(image, row, "other", "priority", "place")

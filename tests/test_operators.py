@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sightline.functions import geometry as G
 from sightline.functions import text as T
 from sightline.operators import consensus, folds, relational, spatial
-from sightline.operators.components import components
+from sightline.operators.components import components, keyed_components
 
 
 def _boxes(spark, rows):
@@ -128,6 +128,17 @@ def test_components_equal_union_find(spark):
     assert components(spark.createDataFrame([], "a int, b int")).count() == 0
 
 
+def test_keyed_components_equal_plain_ones(spark):
+    rng = random.Random(9)
+    edges = [(rng.randrange(30), rng.randrange(12), rng.randrange(12)) for _ in range(200)]
+    df = spark.createDataFrame(edges, "k int, a int, b int")
+    plain = components(df.selectExpr("k * 100 + a as a", "k * 100 + b as b"))
+    want = {(r["node"] // 100, r["node"] % 100): r["component"] % 100 for r in plain.collect()}
+    for limit in (1000, 6, 0):
+        got = {(r["k"], r["node"]): r["component"] for r in keyed_components(df, ["k"], limit).collect()}
+        assert got == want, limit
+
+
 @pytest.mark.parametrize("cell", [7.0, 256.0])
 def test_grid_pairs_equal_all_pairs(spark, cell):
     rows = _random_boxes(120, 2, 4)
