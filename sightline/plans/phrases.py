@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sightline.functions import text as T
+from sightline.operators import inference
 from sightline.operators import relational as R
 from sightline.plans import fixtures as X
 from sightline.sources import table
@@ -110,12 +111,39 @@ def text_box_parse(spark: SparkSession, d: str) -> DataFrame:
     return det.select("image_id", "det_no", b.alias("b")).select("image_id", "det_no", *[F.get("b", k).alias(f"b{k}") for k in range(4)])
 
 
+def _size_model(batch):
+    """A stand-in for a model: judges a category by the length of its name, and fails on some at first or for good."""
+    from sightline.operators.inference import InvalidAnswer
+
+    out = []
+    for c, told in zip(batch["category"], batch["feedback"]):
+        n = len(c)
+        out.append(InvalidAnswer("too long") if n % 5 == 0 or (n % 5 == 1 and told is None) else {"letters": n, "even": n % 2 == 0})
+    return out
+
+
+def model_calls(spark: SparkSession, d: str) -> DataFrame:
+    """Every proposal with a model's answer about its category; each distinct category is asked once."""
+    e = table(spark, d, "entities", "image_id", "entity_id", "category").filter("category is not null").distinct()
+    got = inference.call(e, ["category"], _size_model, "letters int, even boolean", {"letters": None, "even": False})
+    return got.select("image_id", "entity_id", "category", "letters", "even", "attempts", "error")
+
+
+def identity_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """One key for each pair of compared objects, whichever way round they were compared."""
+    c = X.comparisons(spark, d)
+    pair = lambda n: F.concat_ws("/", F.col("image_id").cast("string"), F.col(n).cast("string"))
+    keyed = c.select("image_id", pair("object_no").alias("a"), pair("peer_no").alias("b"), "also_matches").withColumn("k", inference.pair_key("a", "b"))
+    g = keyed.groupBy("k").agg(F.min("image_id").alias("image_id"), F.count("*").alias("n"), F.count_distinct("a").alias("ends"))
+    return g.groupBy("image_id").agg(F.count("*").alias("pairs"), F.sum("n").alias("comparisons"), F.max("ends").alias("ends"))
+
+
 def truncated_texts(spark: SparkSession, d: str) -> DataFrame:
     """Raw answers cut to the lengths of the audit tables."""
     return table(spark, d, "documents", "doc_id", "text").select("doc_id", F.substring("text", 1, 1200).alias("excerpt"), F.length("text").cast("bigint").alias("chars"))
 
 
-QUERIES = [phrase_lint, evidence_subset, phrase_collisions, review_index, finalize_cap, comparison_outcome, budget_reserve, search_audit, safe_ids, json_answers, text_box_parse, truncated_texts]
+QUERIES = [phrase_lint, evidence_subset, phrase_collisions, review_index, finalize_cap, comparison_outcome, budget_reserve, search_audit, safe_ids, json_answers, text_box_parse, model_calls, identity_pairs, truncated_texts]
 
 _DRAFTS = "SELECT * FROM expression_drafts QUALIFY row_number() OVER (PARTITION BY expression_id ORDER BY ingested_at NULLS FIRST{}) = 1"
 _TIDY = "trim(regexp_replace(coalesce(expression, ''), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'), ' ')"
@@ -160,5 +188,10 @@ SELECT *, CASE WHEN open > 0 THEN 'budget_exhausted' ELSE 'no_pending_evidence'
     "json_answers": """SELECT DISTINCT image_id, entity_id, CASE WHEN rank % 3 <> 2 THEN rank END AS read_rank, CASE WHEN rank % 3 <> 2 THEN nullif(action, '') END AS read_action FROM entities""",
     "text_box_parse": X.with_views("det") + """ SELECT image_id, det_no, CASE WHEN det_no % 3 <> 0 THEN x1 END AS b0, CASE WHEN det_no % 3 <> 0 THEN y1 END AS b1,
   CASE WHEN det_no % 3 <> 0 THEN x2 END AS b2, CASE WHEN det_no % 3 <> 0 THEN y2 END AS b3 FROM det""",
+    "model_calls": """SELECT DISTINCT image_id, entity_id, category, CASE WHEN length(category) % 5 <> 0 THEN CAST(length(category) AS INT) END AS letters,
+  length(category) % 5 <> 0 AND length(category) % 2 = 0 AS even, CASE length(category) % 5 WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END AS attempts,
+  CASE WHEN length(category) % 5 = 0 THEN 'too long' END AS error FROM entities WHERE category IS NOT NULL""",
+    "identity_pairs": X.with_views("comp") + """, p AS (SELECT image_id, least(object_no, peer_no) AS lo, greatest(object_no, peer_no) AS hi, count(*) AS n, count(DISTINCT object_no) AS ends FROM comp GROUP BY 1, 2, 3)
+SELECT image_id, count(*) AS pairs, CAST(sum(n) AS BIGINT) AS comparisons, max(ends) AS ends FROM p GROUP BY 1""",
     "truncated_texts": "SELECT doc_id, substr(text, 1, 1200) AS excerpt, length(text) AS chars FROM documents",
 }
