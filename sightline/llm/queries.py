@@ -140,5 +140,35 @@ SELECT image_id, first_epoch, rate, draw FROM drawn WHERE draw < rate
 """
 
 
+_EDGE = r"^[\s\x{a0}\x{200b}\x{feff}]+|[\s\x{a0}\x{200b}\x{feff}]+$"
+
+_P1 = rf"""
+WITH texts AS (
+  SELECT DISTINCT 'manifest' AS record_table, nullif(lower(regexp_replace(image_id, '{_EDGE}', '', 'g')), '') AS record_id, caption AS text FROM manifest
+  UNION SELECT 'expression_drafts', expression_id, expression FROM expression_drafts),
+worded AS (
+  SELECT record_table, record_id, text, row_number() OVER () AS k, regexp_extract_all(regexp_replace(lower(regexp_replace(regexp_replace(coalesce(text, ''), '<[^<>]*>|&#?[A-Za-z0-9]+;', ' ', 'g'),
+    '[\p{{Cf}}\x{{34f}}\x{{fe00}}-\x{{fe0f}}]', '', 'g')), '\p{{N}}+(?:[.,:]\p{{N}}+)*', '0', 'g'), '[\p{{L}}\p{{M}}\p{{N}}]+') AS w FROM texts),
+runs AS (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM worded),
+again AS (SELECT k, i, i > min(i) OVER (PARTITION BY k, w[i], w[i + 1], w[i + 2]) AS later FROM runs),
+hit AS (SELECT k, count(DISTINCT j) AS n FROM (SELECT k, unnest([i, i + 1, i + 2]) AS j FROM again WHERE later) GROUP BY k),
+shares AS (SELECT record_table, record_id, text, CASE WHEN len(w) > 0 THEN coalesce(n, 0) / len(w) ELSE 0.0 END AS share FROM worded LEFT JOIN hit USING (k))
+"""
+
+# Bytes stand in for tokens here: the cases do not hang on the tokenizer.
+_P7 = r"""
+WITH sizes AS (SELECT lower(trim(source, ' ')) AS source, CAST(sum(CASE WHEN trim(text) <> '' THEN strlen(text) ELSE 0 END) AS DOUBLE) AS n FROM documents GROUP BY 1),
+listed AS (SELECT mix_id, lower(trim(t.source, ' ')) AS source, target_share, max_repeats, coalesce(n, 0) AS n FROM mix_targets t LEFT JOIN sizes s ON s.source = lower(trim(t.source, ' '))),
+goals AS (SELECT *, sum(n) OVER (PARTITION BY mix_id) * target_share / sum(target_share) OVER (PARTITION BY mix_id) AS goal FROM listed)
+SELECT mix_id, source FROM goals WHERE n = 0 OR n * max_repeats < goal
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": _P2, "p4_sample": _P4}
+    return {
+        "p1_shares": _P1 + "SELECT record_table, record_id, text, share AS repeated_share, share >= 0.3 AS repetitive FROM shares",
+        "p1_found": _P1 + "SELECT DISTINCT record_table, record_id FROM shares WHERE share >= 0.3",
+        "p2_found": _P2,
+        "p4_sample": _P4,
+        "p7_found": _P7,
+    }
