@@ -285,7 +285,34 @@ def acceptance_summary(spark: SparkSession, d: str) -> DataFrame:
     return per.agg(F.sum("n").alias("regions"), F.count("*").alias("images"), F.max("n").alias("most_per_image"), F.max("largest").alias("largest_share"))
 
 
-QUERIES = [box_metrics, clipped_boxes, normalized_region, crop_to_original, expand_view, unit_boxes, union_envelope, category_requests, request_members, locator_requests, fanout_entities, category_pool, manifest_join, candidates_left, ocr_completeness, resume_pending, selected_semi, latest_revision, proposal_priority, instance_number, box_n_of_m, stage_phases, peer_pages, counts_with_zeros, count_histogram, coverage_report, stage_health, detector_map, shared_instances, first_spelling, export_bag_diff, partition_check, snapshot_changes, cache_reconcile, signature_reuse, lineage_filter, unique_and_contiguous, acceptance_summary]
+def integrity_report(spark: SparkSession, d: str) -> DataFrame:
+    """Referential and key checks over the delivered tables: check, violations. Each check is one anti join or count."""
+    m = table(spark, d, "manifest", "image_id").select(F.lower(F.trim("image_id")).alias("image_id"))
+    e = table(spark, d, "entities", "image_id", "entity_id", "rank")
+    g = table(spark, d, "grounded_entities", "region_id", "image_id", "entity_id", "grounder_support", "supporting_grounders", "size_pass", "size_reject_reason")
+    x = table(spark, d, "expression_drafts", "expression_id", "base_expression_id", "region_id", "image_id", "revision", "previous_expression_id")
+    r = table(spark, d, "route_b", "image_id")
+    missing = lambda df, other, *keys: df.select(*keys).distinct().join(other.select(*keys).distinct(), list(keys), "left_anti")
+    checks = {
+        "entity_image_unknown": missing(e, m, "image_id"),
+        "region_entity_unknown": missing(g, e, "image_id", "entity_id"),
+        "draft_region_unknown": missing(x, g, "region_id"),
+        "chosen_image_unknown": missing(r, m, "image_id"),
+        "chosen_image_without_region": missing(r, g, "image_id"),
+        "support_disagrees": g.filter(F.col("grounder_support") != F.size("supporting_grounders")),
+        "size_reason_disagrees": g.filter(F.col("size_pass") == F.col("size_reject_reason").isNotNull()),
+        "revision_without_predecessor": x.filter("revision > 0 and previous_expression_id is null"),
+        "predecessor_unknown": x.filter("previous_expression_id is not null").select(F.col("previous_expression_id").alias("expression_id")).distinct().join(x.select("expression_id").distinct(), "expression_id", "left_anti"),
+        "region_of_two_images": g.groupBy("region_id").agg(F.count_distinct("image_id").alias("n")).filter("n > 1"),
+    }
+    out = None
+    for name, rows in checks.items():
+        one = rows.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check"), "violations")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+QUERIES = [integrity_report, box_metrics, clipped_boxes, normalized_region, crop_to_original, expand_view, unit_boxes, union_envelope, category_requests, request_members, locator_requests, fanout_entities, category_pool, manifest_join, candidates_left, ocr_completeness, resume_pending, selected_semi, latest_revision, proposal_priority, instance_number, box_n_of_m, stage_phases, peer_pages, counts_with_zeros, count_histogram, coverage_report, stage_health, detector_map, shared_instances, first_spelling, export_bag_diff, partition_check, snapshot_changes, cache_reconcile, signature_reuse, lineage_filter, unique_and_contiguous, acceptance_summary]
 
 _ZEROS = X.with_views("det", "size") + """, counted AS (SELECT image_id, count(*) AS n FROM det WHERE score > 0.97 GROUP BY 1),
   zeros AS (SELECT s.image_id, coalesce(n, 0) AS n FROM (SELECT DISTINCT image_id FROM size) s LEFT JOIN counted c ON c.image_id = s.image_id)"""
@@ -302,6 +329,17 @@ _EX, _EY = _expand_sql("x1", "x2", "width"), _expand_sql("y1", "y2", "height")
 _SIGN = "concat_ws('|', coalesce(length(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '~'), coalesce(length(CAST({1} AS VARCHAR)) || ':' || CAST({1} AS VARCHAR), '~'))"
 
 SQL = {
+    "integrity_report": """WITH m AS (SELECT DISTINCT lower(trim(image_id, ' ')) AS image_id FROM manifest)
+SELECT 'entity_image_unknown' AS "check", count(*) AS violations FROM (SELECT DISTINCT image_id FROM entities EXCEPT SELECT image_id FROM m)
+UNION ALL SELECT 'region_entity_unknown', count(*) FROM (SELECT image_id, entity_id FROM grounded_entities EXCEPT SELECT image_id, entity_id FROM entities)
+UNION ALL SELECT 'draft_region_unknown', count(*) FROM (SELECT region_id FROM expression_drafts EXCEPT SELECT region_id FROM grounded_entities)
+UNION ALL SELECT 'chosen_image_unknown', count(*) FROM (SELECT image_id FROM route_b EXCEPT SELECT image_id FROM m)
+UNION ALL SELECT 'chosen_image_without_region', count(*) FROM (SELECT image_id FROM route_b EXCEPT SELECT image_id FROM grounded_entities)
+UNION ALL SELECT 'support_disagrees', count(*) FROM grounded_entities WHERE grounder_support <> len(supporting_grounders)
+UNION ALL SELECT 'size_reason_disagrees', count(*) FROM grounded_entities WHERE size_pass = (size_reject_reason IS NOT NULL)
+UNION ALL SELECT 'revision_without_predecessor', count(*) FROM expression_drafts WHERE revision > 0 AND previous_expression_id IS NULL
+UNION ALL SELECT 'predecessor_unknown', count(*) FROM (SELECT previous_expression_id FROM expression_drafts WHERE previous_expression_id IS NOT NULL EXCEPT SELECT expression_id FROM expression_drafts)
+UNION ALL SELECT 'region_of_two_images', count(*) FROM (SELECT region_id FROM grounded_entities GROUP BY 1 HAVING count(DISTINCT image_id) > 1)""",
     "box_metrics": X.with_views("det", "size") + f"""
 SELECT a.image_id, a.det_no, {X.area('a')} AS area, {X.area('a')} / CAST(width * height AS DOUBLE) AS area_ratio, {X.iou('a', 'b')} AS iou, {X.containment('a', 'b')} AS contained,
   greatest(abs((a.x1 + a.x2) / 2 - (b.x1 + b.x2) / 2) / least(a.x2 - a.x1, b.x2 - b.x1), abs((a.y1 + a.y2) / 2 - (b.y1 + b.y2) / 2) / least(a.y2 - a.y1, b.y2 - b.y1)) AS center_offset
