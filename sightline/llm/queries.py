@@ -155,6 +155,25 @@ hit AS (SELECT k, count(DISTINCT j) AS n FROM (SELECT k, unnest([i, i + 1, i + 2
 shares AS (SELECT record_table, record_id, text, CASE WHEN len(w) > 0 THEN coalesce(n, 0) / len(w) ELSE 0.0 END AS share FROM worded LEFT JOIN hit USING (k))
 """
 
+# Of the compatibility forms only full-width letters and digits are written out; the tables hold no others.
+_WIDE = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F) if chr(c).isalnum())
+_NARROW = "".join(chr(c) for c in range(0x21, 0x7F) if chr(c).isalnum())
+
+
+def _term(column: str) -> str:
+    plain = rf"regexp_replace(translate(nfc_normalize({column}), '{_WIDE}', '{_NARROW}'), '\p{{Cf}}', '', 'g')"
+    return rf"nullif(lower(trim(regexp_replace({plain}, '[\s\x{{a0}}\x{{2000}}-\x{{200a}}\x{{3000}}]+', ' ', 'g'), ' ')), '')"
+
+
+_P5 = f"""
+WITH tokens AS (
+  SELECT 'entities.category' AS field_name, {_term('category')} AS term, image_id FROM entities
+  UNION ALL SELECT 'expression_drafts.head_category', {_term('head_category')}, image_id FROM expression_drafts),
+whole AS (SELECT field_name, count(DISTINCT image_id) AS n FROM tokens WHERE term IS NOT NULL GROUP BY 1),
+counted AS (SELECT field_name, term, count(*) AS occurrences, count(DISTINCT image_id) AS records FROM tokens WHERE term IS NOT NULL GROUP BY 1, 2),
+marked AS (SELECT c.*, CASE WHEN records < 3 THEN 'rare' WHEN records > n * 0.05 THEN 'common' END AS mark FROM counted c JOIN whole USING (field_name))
+"""
+
 # Bytes stand in for tokens here: the cases do not hang on the tokenizer.
 _P7 = r"""
 WITH sizes AS (SELECT lower(trim(source, ' ')) AS source, CAST(sum(CASE WHEN trim(text) <> '' THEN strlen(text) ELSE 0 END) AS DOUBLE) AS n FROM documents GROUP BY 1),
@@ -170,5 +189,7 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": _P1 + "SELECT DISTINCT record_table, record_id FROM shares WHERE share >= 0.3",
         "p2_found": _P2,
         "p4_sample": _P4,
+        "p5_terms": _P5 + "SELECT field_name, term, occurrences, records, mark FROM marked",
+        "p5_found": _P5 + "SELECT field_name, term, mark FROM marked WHERE mark IS NOT NULL",
         "p7_found": _P7,
     }
