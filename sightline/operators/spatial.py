@@ -50,8 +50,9 @@ def duplicate_suspects(df: DataFrame, image: str, row: str, exact: float = 0.98,
     """
     tidy = df.withColumn("_t", F.lower(F.trim(F.coalesce("phrase", F.lit("")))))
     # Equal phrases: linked to the first row that has it, a class instead of all pairs.
-    lead = Window.partitionBy(image, "_t").orderBy(row)
-    same_text = tidy.filter("_t <> ''").withColumn("first", F.first(row).over(lead)).filter(F.col("first") != F.col(row))
+    worded = tidy.filter("_t <> ''")
+    leads = worded.groupBy(image, "_t").agg(F.min(row).alias("first"))
+    same_text = worded.join(leads, [image, "_t"]).filter(F.col("first") != F.col(row))
     texts = same_text.select(image, "first", F.col(row).alias("second"), F.lit("text").alias("tier"))
     a, b = box("a."), box("b.")
     scoped = tidy.filter("coalesce(scope, '') <> ''")

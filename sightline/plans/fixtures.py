@@ -15,12 +15,13 @@ DETECTION_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
 
 
 def detections(spark: SparkSession, d: str) -> DataFrame:
-    line = table(spark, d, "lineitem", "l_orderkey", *DETECTION_ORDER)
-    no = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*DETECTION_ORDER))
+    line = table(spark, d, "lineitem", "l_orderkey", *DETECTION_ORDER).withColumnRenamed("l_orderkey", "image_id")
+    # Renamed before it is partitioned: what follows by image and further keys then needs no further exchange.
+    no = F.row_number().over(Window.partitionBy("image_id").orderBy(*DETECTION_ORDER))
     left, top = F.col("l_suppkey") * 7 % 40, F.col("l_suppkey") * 3 % 40
     part = F.col("l_partkey") % 3
     return line.select(
-        F.col("l_orderkey").alias("image_id"),
+        "image_id",
         no.cast("int").alias("det_no"),
         F.when(part == 0, "sam31").when(part == 1, "rex_omni").otherwise("groundingdino").alias("grounder"),
         F.when(F.col("l_linenumber") % 2 == 1, "category").otherwise("locator").alias("query_type"),
