@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sightline.functions.geometry import area, box, iou, matches, size_columns, size_ratio
+from sightline.functions.geometry import area, box, containment, iou, matches, size_columns, size_ratio
 from sightline.operators.components import keyed_components
 from sightline.operators.folds import suppress
 from sightline.operators.spatial import overlapping_pairs
@@ -63,7 +63,8 @@ def clustered(detections: DataFrame, keys: list[str], row: str, rules: Rules = R
 def cluster_statistics(members: DataFrame, keys: list[str], row: str, rules: Rules = Rules()) -> DataFrame:
     """One row per cluster: detectors, support, matched cross-detector pairs, median IoU of those pairs, mean score, size.
 
-    The median runs over all cross-detector pairs, 0 if there are none; null scores do not count.
+    The median runs over all cross-detector pairs of a cluster, 0 if there are none; null scores do not count. Clusters are
+    small by nature: near-copies of one detector are thinned out before.
     """
     by = [*keys, "cluster"]
     slim = members.select(*by, row, "grounder", "x1", "y1", "x2", "y2")
@@ -100,7 +101,7 @@ def representatives(members: DataFrame, keys: list[str], row: str, rules: Rules
     able = scored.filter("_tight = 0 or _ok")
     best = F.max_by(
         F.struct("grounder", "x1", "y1", "x2", "y2", F.when(F.col("_tight") == 1, "mask_tight").otherwise("detection_medoid").alias("method")),
-        F.struct("_tight", F.when(F.col("_tight") == 1, F.col("_mean")).otherwise(F.col("_mean")), F.col("score").isNotNull(), F.coalesce("score", F.lit(0.0)), -F.col("_row")),
+        F.struct("_tight", "_mean", F.col("score").isNotNull(), F.coalesce("score", F.lit(0.0)), -F.col("_row")),
     ).alias("_b")
     return able.groupBy(*by).agg(best).select(*by, *[F.col("_b")[c].alias(c) for c in ("x1", "y1", "x2", "y2")], F.col("_b")["grounder"].alias("representative"), F.col("_b")["method"].alias("method"))
 
@@ -164,8 +165,6 @@ def repair_options(members: DataFrame, candidates: DataFrame, keys: list[str], r
     c, m, s = candidates.alias("c"), members.alias("a"), members.alias("s")
     on = lambda x, y: [F.col(f"{x}.{k}") == F.col(f"{y}.{k}") for k in keys]
     a, t = box("a."), box("c.")
-    from sightline.functions.geometry import containment
-
     small = m.join(c, on("a", "c")).filter((area(a) < area(t)) & (containment(a, t) >= 0.98))
     small = small.filter(size_columns(a, F.col("c.width"), F.col("c.height"))["size_pass"])
     flat = small.select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col(f"a.{row}").alias(row), *[F.col(f"a.{x}").alias(x) for x in ("x1", "y1", "x2", "y2")])

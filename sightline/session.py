@@ -8,7 +8,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def session(app: str = "sightline", cpus: int | None = None, **conf: str) -> SparkSession:
@@ -69,7 +68,3 @@ def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def bounded_small(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than ``max_rows + 1`` of them."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
