@@ -36,7 +36,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_rates(spark: SparkSession, d: str) -> DataFrame:
-    """For every dataset and writer model how many of its texts there are and how many of them are cut."""
+    """For every dataset and writer model how many of its texts there are and how many are cut; repeated rows count as they stand."""
     judged = truncation.score_all(spread(_texts(spark, d)), "record_table", "text")
     return judged.filter("text is not null").groupBy("record_table", "origin").agg(F.count("*").alias("texts"), F.sum(F.col("cut").cast("bigint")).alias("cut_texts"))
 
