@@ -2,7 +2,8 @@
 
 Intact values of a bounded sample are cut artificially: inside words, after words that never close a text, and at the
 lengths where the table's texts pile up (its field limits). The classifier learns from hashed features of the closing
-characters and words, the punctuation and the distance to a limit, and then scores every record.
+characters and words, the punctuation and the distance to a limit, and then scores every record. Which words are known
+and which can close a text is counted over all texts; only the regression is fitted to the sample.
 
 What counts as cut: the text stops inside a word, inside an open quotation, or on a word that cannot close the phrase,
 whatever mark was left at the break. A missing final stop, dots added at the end or a damaged letter are no cut.
@@ -13,20 +14,26 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.llm.common import sample_rows
+from sightline.session import written
 
 BITS = 18
 SAMPLE_TEXTS = 6_000  # texts of one table from which the classifier is trained
 LIMITS = 8  # field limits looked for in one table
 #: Shares of a word's occurrences that stand at an end: below the first it cannot close a text, above the second it can.
 NEVER_CLOSES, CLOSES = 0.006, 0.01
+#: A word is known if it stands inside texts so often, and this share of its occurrences is inside: a piece left by cuts
+#: stands at ends only, however many texts there are.
+KNOWN_INSIDE, KNOWN_SHARE = 3, 0.02
+WORDS_HELD = 200_000  # words that a counting task holds before it hands its counts on
 
 _INVISIBLE = re.compile("[­​-‏‪-‮⁠-⁤﻿]")
 _MARK = re.compile(r"(?:\s*(?:\[[^\[\]]{0,14}\]?|\((?:cut|more|truncated|continued)\)?|…|\.{2,}|&[a-z]{0,7};?|\\(?:u[0-9a-fA-F]{0,4}|n|x\w{0,2})?|</?\w{0,8}/?>?))+\s*$", re.I)
@@ -55,11 +62,16 @@ def tidy(text: str) -> tuple[str, str]:
 @dataclass(frozen=True)
 class Model:
     weights: np.ndarray
-    known: frozenset[str]
     limits: dict[str, tuple[int, ...]]
 
 
-def features(text: str, table: str, known: frozenset[str], limits: tuple[int, ...], shown: int | None = None) -> list[int]:
+def last_word(text: str) -> str:
+    """The class of the last word of ``text`` ('' if none), as ``features`` sees it."""
+    words = _WORD.findall(tidy(text)[0][-120:])
+    return _class(words[-1]) if words else ""
+
+
+def features(text: str, table: str, known: frozenset[str] | set[str], limits: tuple[int, ...], shown: int | None = None) -> list[int]:
     """Hashed feature numbers of how ``text`` closes. ``shown``: its length as stored, if it differs."""
     left, mark = tidy(text)
     tail = left[-120:]
@@ -113,18 +125,49 @@ def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = 8, bat
     return w
 
 
-def close_rates(texts: list[str], limits: tuple[int, ...]) -> tuple[Counter, Counter]:
-    """How often each word occurs, and how often it ends an inner sentence or a text that no limit or mark has cut."""
-    total, ends = Counter(), Counter()
+def counted(texts: list[str], limits: tuple[int, ...], counts: dict[str, list[int]]) -> None:
+    """Adds the words of ``texts`` to ``counts``: inside a text, in all, at an end, as a text's last word.
+
+    An end is that of an inner sentence or of a text that no limit or mark has cut.
+    """
     for t in texts:
         left, mark = tidy(t)
         parts = _SENTENCE.split(left)
+        whole = [_class(w) for w in _WORD.findall(left)]
+        for w in whole[:-1]:
+            counts.setdefault(w, [0, 0, 0, 0])[0] += 1
+        if whole:
+            counts.setdefault(last_word(t), [0, 0, 0, 0])[3] += 1
         for k, part in enumerate(parts):
             words = [_class(w) for w in _WORD.findall(part)]
-            total.update(words)
+            for w in words:
+                counts.setdefault(w, [0, 0, 0, 0])[1] += 1
             if words and (k < len(parts) - 1 or (mark != "other" and len(t) not in limits and len(t.rstrip()) not in limits)):
-                ends[words[-1]] += 1
-    return total, ends
+                counts[words[-1]][2] += 1
+
+
+def word_counts(texts: DataFrame, table: str, text: str, limits: dict[str, tuple[int, ...]]) -> DataFrame:
+    """word, inside, total, ends, last over all ``texts``, added up in each task before the shuffle."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: dict[str, list[int]] = {}
+        out = lambda: pd.DataFrame([(w, *n) for w, n in counts.items()], columns=["word", "inside", "total", "ends", "last"])
+        for batch in batches:
+            for name, part in batch.groupby("_table", sort=False):
+                for t in part["_text"]:
+                    counted([t], limits.get(name, ()), counts)
+                    if len(counts) >= WORDS_HELD:
+                        yield out()
+                        counts.clear()
+        yield out()
+
+    rows = texts.select(F.col(table).alias("_table"), F.col(text).alias("_text"))
+    parts = rows.mapInPandas(count, "word string, inside bigint, total bigint, ends bigint, last bigint")
+    return parts.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("inside", "total", "ends", "last")])
+
+
+def is_known(inside: Column, last: Column) -> Column:
+    return (inside >= KNOWN_INSIDE) & (inside >= KNOWN_SHARE * (inside + last))
 
 
 def examples(texts: list[str], table: str, limits: tuple[int, ...], known: frozenset[str], total: Counter, ends: Counter, rng: np.random.Generator) -> tuple[list, list, list]:
@@ -210,27 +253,32 @@ def field_limits(texts: DataFrame, text: str, table: str) -> dict[str, tuple[int
     return {t: tuple(sorted(v)) for t, v in out.items()}
 
 
-def fit(samples: dict[str, list[str]], limits: dict[str, tuple[int, ...]], seed: int = 0) -> Model:
-    """A model from the sampled texts of each table."""
+def sample_words(samples: dict[str, list[str]]) -> set[str]:
+    """Every word that the sampled texts or their artificial cuts may end on, pieces of words among them."""
+    out: set[str] = set()
+    for texts in samples.values():
+        for t in texts:
+            for w in _WORD.findall(t):
+                out.update(_class(w[:k]) for k in range(1, min(len(w), 60) + 1))
+                out.add(_class(w))
+    return out
+
+
+def fit(samples: dict[str, list[str]], limits: dict[str, tuple[int, ...]], known: frozenset[str], total: Counter, ends: Counter, seed: int = 0) -> Model:
+    """A model from the sampled texts of each table and what is known of their words from all texts."""
     rng = np.random.default_rng(seed)
-    inner = Counter(_class(w) for texts in samples.values() for t in texts for w in _WORD.findall(tidy(t)[0])[:-1])
-    known = frozenset(w for w, n in inner.items() if n >= 3)
     x, y, w = [], [], []
-    total, ends = Counter(), Counter()
-    for table, texts in samples.items():
-        for so_far, more in zip((total, ends), close_rates(texts, limits.get(table, ()))):
-            so_far.update(more)
     for table, texts in samples.items():
         for a, b in zip((x, y, w), examples(texts, table, limits.get(table, ()), known, total, ends, rng)):
             a += b
     weights = train(_matrix(x), np.array(y, float), np.array(w, float)) if x else np.zeros((1 << BITS) + 1)
-    return Model(weights, known, limits)
+    return Model(weights, limits)
 
 
-def scores(texts: list[str], tables: list[str], model: Model) -> np.ndarray:
-    """Log-odds of each text being cut; minus infinity for null and blank texts."""
+def scores(texts: list[str], tables: list[str], known: list[bool], model: Model) -> np.ndarray:
+    """Log-odds of each text being cut; minus infinity for null and blank texts. ``known``: whether its last word is."""
     blank = [not t or not t.strip() for t in texts]
-    rows = [[] if b else features(t, table, model.known, model.limits.get(table, ())) for t, table, b in zip(texts, tables, blank)]
+    rows = [[] if b else features(t, table, {last_word(t)} if k else frozenset(), model.limits.get(table, ())) for t, table, k, b in zip(texts, tables, known, blank)]
     z = model.weights[_matrix(rows)].sum(1) if rows else np.zeros(0)
     return np.where(blank, -np.inf, z)
 
@@ -238,16 +286,30 @@ def scores(texts: list[str], tables: list[str], model: Model) -> np.ndarray:
 def score_all(texts: DataFrame, table: str, text: str, sample_texts: int = SAMPLE_TEXTS) -> DataFrame:
     """``texts`` with ``cut_score`` (log-odds) and ``cut`` (score over 0) for every row; extra columns stay.
 
-    Null and blank texts are not cut. With nothing to train from no text is.
+    Null and blank texts are not cut. With nothing to train from no text is. Words are counted over all distinct texts of
+    a table; the list of known words is joined to the last words, so its length may grow with the texts.
     """
     spark = texts.sparkSession
     names = [r[0] for r in texts.select(table).distinct().limit(100).collect()]  # tables, not records
     limits = field_limits(texts, text, table)
-    samples = {n: [r[0] for r in sample_rows(texts.filter((F.col(table) == n) & (F.length(F.trim(text)) > 0)), [text], sample_texts)] for n in names}
-    model = spark.sparkContext.broadcast(fit({n: v for n, v in samples.items() if v}, limits))
+    once = written(texts.filter(F.length(F.trim(text)) > 0).select(table, text).distinct(), "texts")
+    samples = {n: [r[0] for r in sample_rows(once.filter(F.col(table) == n), [text], sample_texts)] for n in names}
+    words = written(word_counts(once, table, text, limits).withColumn("known", is_known(F.col("inside"), F.col("last"))), "words")
+    asked = spark.createDataFrame([(w,) for w in sorted(sample_words(samples))], "word string")
+    told = words.join(F.broadcast(asked), "word").filter("known or total >= 12").select("word", "known", "total", "ends").collect()  # of the sample's words only
+    total, ends = Counter({r["word"]: r["total"] for r in told}), Counter({r["word"]: r["ends"] for r in told})
+    known = frozenset(r["word"] for r in told if r["known"])
+    model = spark.sparkContext.broadcast(fit({n: v for n, v in samples.items() if v}, limits, known, total, ends))
+
+    @F.pandas_udf("string")
+    def closing(t: pd.Series) -> pd.Series:
+        return t.map(lambda x: last_word(x) or None if x else None)
 
     @F.pandas_udf("double")
-    def score(t: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series(scores(t.tolist(), n.tolist(), model.value))
+    def score(t: pd.Series, n: pd.Series, k: pd.Series) -> pd.Series:
+        return pd.Series(scores(t.tolist(), n.tolist(), k.tolist(), model.value))
 
-    return texts.withColumn("cut_score", score(F.col(text), F.col(table))).withColumn("cut", F.col("cut_score") > 0)
+    listed = words.filter("known").select(F.col("word").alias("_last"), F.lit(True).alias("_listed"))
+    told_of = texts.withColumn("_last", closing(F.col(text))).join(listed, "_last", "left")
+    scored = told_of.withColumn("cut_score", score(F.col(text), F.col(table), F.coalesce("_listed", F.lit(False)))).drop("_last", "_listed")
+    return scored.withColumn("cut", F.col("cut_score") > 0)

@@ -130,6 +130,23 @@ def test_cut_texts_are_told_from_whole_ones(spark):
     assert not got & {20_000, 20_001, 20_002}
 
 
+def test_words_are_counted_beyond_the_sample(spark, monkeypatch):
+    """Whole texts that end on a noun which is common in the table, but not in the training sample, are not cut."""
+    whole = _captions()
+    named = [f"{w} A quiet basket stands behind the heavy basket." for w in whole[:60]]
+    df = spark.createDataFrame([("t", i, t) for i, t in enumerate(whole + named)], "tab string, id int, text string")
+    monkeypatch.setattr(truncation, "sample_rows", lambda frame, columns, n: [(t,) for t in whole[:1000]])
+    got = {r["id"] for r in truncation.score_all(df, "tab", "text").filter("cut").select("id").collect()}
+    assert len(got & set(range(len(whole), len(whole) + 60))) <= 3
+
+
+def test_words_of_all_texts(spark):
+    texts = ["The lamp. A lamp stands by the lamp", "By the lamp stands a lam", "Lamp lamp"]
+    df = spark.createDataFrame([("t", t) for t in texts], "tab string, text string")
+    got = {r["word"]: tuple(r[1:]) for r in truncation.word_counts(df, "tab", "text", {}).collect()}
+    assert got["lamp"] == (4, 6, 3, 2) and got["lam"] == (0, 1, 1, 1) and got["the"] == (3, 3, 0, 0)
+
+
 def test_truncation_of_nothing(spark):
     df = spark.createDataFrame([], "tab string, text string")
     assert truncation.score_all(df, "tab", "text").count() == 0
