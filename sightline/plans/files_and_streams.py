@@ -43,7 +43,7 @@ def seeded_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def file_hashes(spark: SparkSession, d: str) -> DataFrame:
-    return files.file_hashes(spark, f"{d}/mix_targets.parquet")
+    return files.file_hashes(spark, d)
 
 
 def mask_boxes(spark: SparkSession, d: str) -> DataFrame:

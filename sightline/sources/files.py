@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import fnmatch
 import json
 import random
 from pathlib import Path
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,7 +125,40 @@ def id_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("ordinal", "id")).filter("id <> ''").select("id", "ordinal")
 
 
-def file_hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """file, sha256 of every file under ``path``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
-    return files.select(F.regexp_extract("path", "[^/]*$", 0).alias("file"), F.sha2("content", 256).alias("sha256"))
+def file_hashes(spark: SparkSession, path: str, pattern: str = "*", chunk: int = 1 << 20) -> DataFrame:
+    """file, sha256 of every file under ``path``; ``file`` is its path below ``path``, or its name if ``path`` is a file.
+
+    Empty files and names that begin with a dot or underscore count too. Only names are listed on the driver; each task
+    streams its files in pieces of ``chunk`` bytes, so their size is not bounded by that of a cell.
+    """
+    import pyarrow.fs as pafs
+
+    named = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    root = quote(named.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(named).toString(), safe="/:@")
+    fs, where = pafs.FileSystem.from_uri(root)
+    top = fs.get_file_info(where)
+    if top.type == pafs.FileType.NotFound:
+        raise FileNotFoundError(path)
+    found = [top] if top.is_file else [f for f in fs.get_file_info(pafs.FileSelector(where, recursive=True)) if f.is_file]
+    rows = [(f.path, f.base_name if top.is_file else f.path[len(where.rstrip("/")) + 1 :]) for f in sorted(found, key=lambda f: -f.size) if fnmatch.fnmatchcase(f.base_name, pattern)]
+    slices = max(1, min(len(rows), 8 * spark.sparkContext.defaultParallelism))
+    # Dealt by size, so that the largest files do not meet in one task.
+    listed = spark.createDataFrame(spark.sparkContext.parallelize([r for k in range(slices) for r in rows[k::slices]], slices), "path string, file string")
+
+    def read(batches):
+        import hashlib
+
+        import pandas as pd
+
+        source, _ = pafs.FileSystem.from_uri(root)
+        for batch in batches:
+            out = []
+            for at, name in zip(batch["path"], batch["file"]):
+                digest = hashlib.sha256()
+                with source.open_input_stream(at, compression=None) as f:
+                    while piece := f.read(chunk):
+                        digest.update(piece)
+                out.append((name, digest.hexdigest()))
+            yield pd.DataFrame(out, columns=["file", "sha256"])
+
+    return listed.mapInPandas(read, "file string, sha256 string")

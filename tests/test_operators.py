@@ -10,6 +10,7 @@ from sightline.functions import geometry as G
 from sightline.functions import text as T
 from sightline.operators import consensus, folds, relational, spatial
 from sightline.operators.components import components, keyed_components
+from sightline.sources import files
 
 
 def _boxes(spark, rows):
@@ -277,3 +278,24 @@ def test_seeded_sample_is_the_shuffle(spark):
     assert got == list(enumerate(want))[5:9]
     with pytest.raises(ValueError, match="repeated"):
         files.seeded_sample(df.union(df), "k", 0, 1, 1)
+
+
+def test_every_file_is_hashed_in_pieces(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "a" / "b c").mkdir(parents=True)
+    bodies = {"x.bin": b"", "a/__init__.py": b"1", "a/z.gz": b"not packed", "a/x.bin": bytes(range(256)) * 40, "a/b c/y z.bin": b"one"}
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    df = files.file_hashes(spark, str(tmp_path), chunk=1000)
+    assert {r["file"]: r["sha256"] for r in df.collect()} == {k: hashlib.sha256(v).hexdigest() for k, v in bodies.items()}
+    assert "content" not in df._jdf.queryExecution().executedPlan().toString()  # no file is held as one cell
+    assert [r["file"] for r in files.file_hashes(spark, str(tmp_path / "a" / "x.bin")).collect()] == ["x.bin"]
+
+
+def test_the_query_hashes_every_table(spark, data):
+    import os
+
+    from sightline.plans import files_and_streams
+
+    assert {r["file"] for r in files_and_streams.file_hashes(spark, data).collect()} == set(os.listdir(data))
