@@ -133,44 +133,48 @@ def rejections(detections: DataFrame, found: DataFrame, keys: list[str]) -> Data
     return per_key.join(found.select(*keys).distinct(), keys, "left_anti").withColumn("reject_reason", F.lit("no_multi_grounder_entity_instance"))
 
 
-def regrounding_audit(targets: DataFrame, clusters: DataFrame, keys: list[str], rules: Rules = Rules()) -> DataFrame:
+def regrounding_audit(targets: DataFrame, clusters: DataFrame, keys: list[str], rules: Rules = Rules(), target: str | None = None) -> DataFrame:
     """Whether a phrase leads back to its target alone: cluster_count, target_count, support, reground_iou, reason, passed.
 
-    ``targets`` has one box per key, ``clusters`` any number with support and median_iou.
+    ``targets`` has one box per key, ``clusters`` any number with support and median_iou. With ``target``, the column
+    that tells the targets of one key apart, each target is audited by itself and the column is returned after the keys.
     """
     t, c = targets.alias("t"), clusters.alias("c")
+    per = [*keys, target] if target else keys
     j = t.join(c, [F.col(f"t.{k}") == F.col(f"c.{k}") for k in keys], "left")
     there = F.col("c.support").isNotNull()
     overlap = iou(box("c."), box("t."))
     hit = there & (overlap >= rules.min_iou) & (size_ratio(box("c."), box("t.")) <= rules.regrounding_size_ratio)
     best = F.max(F.when(hit, F.struct(F.col("c.support").alias("s"), overlap.alias("o"), F.col("c.median_iou").alias("m"))))
-    d = j.groupBy(*[F.col(f"t.{k}").alias(k) for k in keys]).agg(F.count_if(there).alias("cluster_count"), F.count_if(hit).alias("target_count"), best.alias("_b"), F.max("c.support").alias("_any"))
+    d = j.groupBy(*[F.col(f"t.{k}").alias(k) for k in per]).agg(F.count_if(there).alias("cluster_count"), F.count_if(hit).alias("target_count"), best.alias("_b"), F.max("c.support").alias("_any"))
     reason = (
         F.when(F.col("cluster_count") == 0, "no_multi_grounder_expression_result")
         .when(F.col("target_count") == 0, "expression_did_not_recover_target")
         .when(F.col("cluster_count") > 1, "expression_has_multiple_consensus_targets")
     )
     return d.select(
-        *keys, "cluster_count", "target_count", F.coalesce(F.col("_b")["s"], "_any", F.lit(0)).alias("support"), F.coalesce(F.col("_b")["o"], F.lit(0.0)).alias("reground_iou"),
+        *per, "cluster_count", "target_count", F.coalesce(F.col("_b")["s"], "_any", F.lit(0)).alias("support"), F.coalesce(F.col("_b")["o"], F.lit(0.0)).alias("reground_iou"),
         reason.alias("reason"), ((F.col("cluster_count") == 1) & (F.col("target_count") == 1)).alias("passed"),
     )
 
 
-def repair_options(members: DataFrame, candidates: DataFrame, keys: list[str], row: str, rules: Rules = Rules(), limit: int = 2) -> DataFrame:
+def repair_options(members: DataFrame, candidates: DataFrame, keys: list[str], row: str, rules: Rules = Rules(), limit: int = 2, target: str | None = None) -> DataFrame:
     """Smaller boxes of a candidate's own members that could replace its box: keys, row, box, support, place.
 
     A repair is smaller than the candidate's box, lies within it by 98 %, has a size that passes and overlaps boxes of
-    enough detectors. ``candidates`` has the box, width and height per key.
+    enough detectors. ``candidates`` has the box, width and height per key. With ``target``, the column that tells the
+    candidates of one key apart, each has repairs of its own and the column is returned after the keys.
     """
+    per = [*keys, target] if target else keys
     c, m, s = candidates.alias("c"), members.alias("a"), members.alias("s")
     on = lambda x, y: [F.col(f"{x}.{k}") == F.col(f"{y}.{k}") for k in keys]
     a, t = box("a."), box("c.")
     small = m.join(c, on("a", "c")).filter((area(a) < area(t)) & (containment(a, t) >= 0.98))
     small = small.filter(size_columns(a, F.col("c.width"), F.col("c.height"))["size_pass"])
-    flat = small.select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col(f"a.{row}").alias(row), *[F.col(f"a.{x}").alias(x) for x in ("x1", "y1", "x2", "y2")])
-    first = Window.partitionBy(*keys, "x1", "y1", "x2", "y2").orderBy(row)
+    flat = small.select(*[F.col(f"a.{k}").alias(k) for k in keys], *[F.col(f"c.{k}").alias(k) for k in per[len(keys) :]], F.col(f"a.{row}").alias(row), *[F.col(f"a.{x}").alias(x) for x in ("x1", "y1", "x2", "y2")])
+    first = Window.partitionBy(*per, "x1", "y1", "x2", "y2").orderBy(row)
     flat = flat.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n").alias("f")
     backed = flat.join(s, on("f", "s") + [iou(box("f."), box("s.")) >= rules.min_iou])
-    supported = backed.groupBy(*[F.col(f"f.{x}").alias(x) for x in [*keys, row, "x1", "y1", "x2", "y2"]]).agg(F.count_distinct("s.grounder").alias("support")).filter(F.col("support") >= rules.min_support)
-    order = Window.partitionBy(*keys).orderBy(F.desc("support"), area(box()), F.col(row))
+    supported = backed.groupBy(*[F.col(f"f.{x}").alias(x) for x in [*per, row, "x1", "y1", "x2", "y2"]]).agg(F.count_distinct("s.grounder").alias("support")).filter(F.col("support") >= rules.min_support)
+    order = Window.partitionBy(*per).orderBy(F.desc("support"), area(box()), F.col(row))
     return supported.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit)

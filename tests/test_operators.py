@@ -299,3 +299,17 @@ def test_the_query_hashes_every_table(spark, data):
     from sightline.plans import files_and_streams
 
     assert {r["file"] for r in files_and_streams.file_hashes(spark, data).collect()} == set(os.listdir(data))
+
+
+def test_each_target_of_a_key_is_audited_and_repaired(spark):
+    targets = spark.createDataFrame([(1, "a", 1, 0.0, 0.0, 10.0, 10.0), (1, "a", 2, 50.0, 50.0, 60.0, 60.0)], "image_id int, category string, t int, x1 double, y1 double, x2 double, y2 double")
+    found = spark.createDataFrame([(1, "a", 0.0, 0.0, 10.0, 10.0, 2, 0.9)], "image_id int, category string, x1 double, y1 double, x2 double, y2 double, support int, median_iou double")
+    got = {r["t"]: (r["passed"], r["target_count"]) for r in consensus.regrounding_audit(targets, found, ["image_id", "category"], target="t").collect()}
+    assert got == {1: (True, 1), 2: (False, 0)}
+    members = spark.createDataFrame(
+        [(1, "a", n, g, x, x, x + 6.0, x + 6.0) for n, g, x in ((1, "p", 1.0), (2, "q", 1.1), (3, "p", 52.0), (4, "q", 52.1))],
+        "image_id int, category string, n int, grounder string, x1 double, y1 double, x2 double, y2 double",
+    )
+    sized = targets.withColumn("width", F.lit(100)).withColumn("height", F.lit(100))
+    options = consensus.repair_options(members, sized, ["image_id", "category"], "n", target="t").collect()
+    assert sorted((r["t"], r["n"], r["place"]) for r in options) == [(1, 1, 1), (1, 2, 2), (2, 3, 1), (2, 4, 2)]
