@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sightline.functions.geometry import field_box, iou
@@ -90,3 +90,12 @@ def suppress(df: DataFrame, keys: list[str], rank: str, threshold: float, fold_r
     return greedy(df, keys, rank, overlap, fold_rows).filter("winner is null").drop("winner")
 
 
+def context_views(df: DataFrame, keys: list[str], rank: str, second: Column) -> DataFrame:
+    """The first views of every key in order of ``rank``: 3, or 2 where ``second`` (a second target is present).
+
+    The full image (boxes of 0, 0, width, height) and views that overlap a kept one by more than 0.97 are dropped first.
+    """
+    full = (F.col("x1") == 0) & (F.col("y1") == 0) & (F.col("x2") == F.col("width")) & (F.col("y2") == F.col("height"))
+    kept = greedy(df.filter(~full), keys, rank, lambda a, b: iou(field_box(a), field_box(b)) > 0.97).filter("winner is null").drop("winner")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(rank))
+    return kept.withColumn("place", place).filter(F.col("place") <= F.when(second, 2).otherwise(3))

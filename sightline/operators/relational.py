@@ -124,3 +124,17 @@ def signature_of(*columns: str) -> Column:
     from sightline.functions.text import content_key
 
     return content_key(*[F.col(c) for c in columns])
+
+
+def answer_faults(expected: DataFrame, returned: DataFrame, keys: list[str], id: str) -> DataFrame:
+    """Whether the ids returned for a key are the expected ones exactly once: keys, missing, foreign, repeated, complete."""
+    asked = expected.select(*keys, id).distinct().withColumn("_asked", F.lit(True))
+    given = returned.groupBy(*keys, id).agg(F.count("*").alias("_n"))
+    j = asked.join(given, [*keys, id], "full").groupBy(*keys)
+    faults = j.agg(F.count_if(F.col("_n").isNull()).alias("missing"), F.count_if(F.col("_asked").isNull()).alias("foreign"), F.sum(F.greatest(F.col("_n") - 1, F.lit(0))).alias("repeated"))
+    return faults.withColumn("complete", (F.col("missing") == 0) & (F.col("foreign") == 0) & (F.col("repeated") == 0))
+
+
+def conflict_ids(comparisons: DataFrame, declared: DataFrame, keys: list[str], id: str) -> DataFrame:
+    """keys and id of every compared object that also matches, and of every competitor that was declared, once each."""
+    return comparisons.filter("also_matches").select(*keys, id).union(declared.select(*keys, id)).distinct()

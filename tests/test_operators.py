@@ -313,3 +313,20 @@ def test_each_target_of_a_key_is_audited_and_repaired(spark):
     sized = targets.withColumn("width", F.lit(100)).withColumn("height", F.lit(100))
     options = consensus.repair_options(members, sized, ["image_id", "category"], "n", target="t").collect()
     assert sorted((r["t"], r["n"], r["place"]) for r in options) == [(1, 1, 1), (1, 2, 2), (2, 3, 1), (2, 4, 2)]
+
+
+def test_context_views_without_full_image_and_repeats(spark):
+    rows = [(k, n, *b, 100.0, 100.0, k == 2) for k in (1, 2) for n, b in enumerate([(0.0, 0.0, 100.0, 100.0), (0.0, 0.0, 50.0, 50.0), (0.0, 0.0, 50.0, 50.5), (0.0, 0.0, 40.0, 50.0), (60.0, 0.0, 90.0, 50.0), (0.0, 60.0, 9.0, 70.0)])]
+    df = spark.createDataFrame(rows, "k int, n int, x1 double, y1 double, x2 double, y2 double, width double, height double, b boolean")
+    got = folds.context_views(df, ["k"], "n", F.col("b")).collect()
+    assert sorted((r["k"], r["n"], r["place"]) for r in got) == [(1, 1, 1), (1, 3, 2), (1, 4, 3), (2, 1, 1), (2, 3, 2)]
+
+
+def test_answers_are_the_expected_ones_once(spark):
+    ids = lambda rows: spark.createDataFrame(rows, "k int, peer int")
+    expected = ids([(k, p) for k in (1, 2, 3, 4) for p in (1, 2)])
+    returned = ids([(1, 1), (1, 2), (2, 1), (3, 1), (3, 2), (3, 2), (4, 1), (4, 2), (4, 9)])
+    got = {r["k"]: tuple(r[1:]) for r in relational.answer_faults(expected, returned, ["k"], "peer").collect()}
+    assert got == {1: (0, 0, 0, True), 2: (1, 0, 0, False), 3: (0, 0, 1, False), 4: (0, 1, 0, False)}
+    seen = spark.createDataFrame([(1, 1, True), (1, 2, False), (1, 3, None)], "k int, peer int, also_matches boolean")
+    assert sorted(map(tuple, relational.conflict_ids(seen, ids([(1, 1), (1, 7)]), ["k"], "peer").collect())) == [(1, 1), (1, 7)]
