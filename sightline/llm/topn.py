@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from sightline.session import scratch_path
 
@@ -27,13 +28,16 @@ def plain_number(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def score_bound(first: Column, second: Column) -> Column:
+def score_bound(first: Column, second: Column, whole: bool = True) -> Column:
     """A double that never falls where (first, second) rises, both with nulls lowest.
 
-    ``second`` is squashed into (-1, 1), so a step of ``first`` by one whole number outweighs it. Different pairs may
-    share a bound; only strictly smaller bounds prove a smaller pair.
+    ``second`` is squashed into (-1, 1), so a step of ``first`` by one whole number outweighs it. Where ``first`` may have
+    fractions (not ``whole``) the bound is ``first`` alone. Different pairs may share a bound; only strictly smaller bounds
+    prove a smaller pair.
     """
     low = F.lit(-1.7e308)
+    if not whole:
+        return F.coalesce(first, F.lit(float("-inf")))
     squashed = F.when(second.isNull(), F.lit(-1.0)).otherwise(second / (F.abs(second) + 1))
     return F.when(first.isNull(), low).otherwise(first * 2) + F.coalesce(squashed, F.lit(1.0))
 
@@ -124,7 +128,7 @@ def top_n(items: DataFrame, groups: DataFrame, group: str, item: str, first: str
         rows.withColumn("_salt", salt)
         .join(wanted, ["_group", "_salt"], "left_semi")
         .repartition(files, "_group", "_salt")
-        .withColumn("_bound", score_bound(F.col("_first"), F.col("_second")))
+        .withColumn("_bound", score_bound(F.col("_first"), F.col("_second"), isinstance(items.schema[first].dataType, IntegralType)))
         .sortWithinPartitions("_group", F.desc("_bound"))
         .select("_group", "_bound", "_first", "_second", "_item")
     )

@@ -5,6 +5,7 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from sightline.llm import epoch_sample, leakage, mixing, repetition, sentences, term_counts, topn, truncation
 
@@ -101,6 +102,14 @@ def test_latest_rows_take_only_the_last_recording(spark):
     assert {(r["k"], r["v"]) for r in topn.latest_rows(df, "k", "at", "then", "v").collect()} == {("r", 3), ("q", 4)}
 
 
+def test_bounds_of_fractions_rise_with_the_order(spark):
+    pairs = [(None, 5.0), (-1e300, 0.0), (0.9, 0.99), (1.0, -3.0), (1.0, 0.9), (1.1, 0.0), (1.1, None), (2.0, 0.1)]
+    df = spark.createDataFrame(pairs, "a double, b double")
+    rows = sorted(df.withColumn("bound", topn.score_bound(F.col("a"), F.col("b"), whole=False)).collect(), key=lambda r: tuple((x is not None, x or 0.0) for x in r[:2]))
+    bounds = [r["bound"] for r in rows]
+    assert bounds == sorted(bounds)
+
+
 # --- truncation
 
 
