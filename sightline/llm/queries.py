@@ -21,13 +21,13 @@ def _texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_shares(spark: SparkSession, d: str) -> DataFrame:
-    """Every distinct text of a record with its share of repeated words and its verdict."""
-    judged = repetition.judge(_texts(spark, d), "text")
-    return judged.select("record_table", "record_id", "text", "repeated_share", "repetitive").distinct()
+    """Every distinct text of a record with its share of repeated words and whether that is too much."""
+    measured = repetition.shares(spread(_texts(spark, d)), "text")
+    return measured.select("record_table", "record_id", "text", "repeated_share", (F.col("repeated_share") >= repetition.LIMIT).alias("repetitive")).distinct()
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return repetition.judge(_texts(spark, d), "text").filter("repetitive").select("record_table", "record_id").distinct()
+    return repetition.judge(spread(_texts(spark, d)), "text").filter("repetitive").select("record_table", "record_id").distinct()
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:

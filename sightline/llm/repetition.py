@@ -1,27 +1,31 @@
-"""Repetition inside a text: its share of repeated words, and a learned decision list that names texts with too much.
+"""Repetition inside a text: a learned decision list names texts with too much of it, and an exact count confirms them.
 
-Statistics of every text are Spark expressions. A decision list is learned from labelled statistics of a bounded sample
-by sequential covering: a rule, a conjunction of thresholds, is grown on two thirds of the sample by information gain,
-pruned on the rest, and what it covers is taken out; then the next rule follows. The list becomes one ordered
-conditional expression over the statistics of all texts.
+Cheap statistics of every text are Spark expressions: how many of its words, pairs of words and sentences are distinct. A
+decision list is learned from labelled statistics of a bounded sample by sequential covering: a rule, a conjunction of
+thresholds, is grown on two thirds of the sample by information gain, pruned on the rest, and what it covers is taken
+out; then the next rule follows. The list becomes one ordered conditional expression over the statistics of all texts.
+The share of repeated words itself is no statistic of the list; it is measured only where the list says so.
 """
 
 from __future__ import annotations
 
 import math
-import re
-import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sightline.llm.common import sample_rows
+
 RUN = 3  # words that must recur together
 LIMIT = 0.3  # share of repeated words from which a text has too much of them
-STATISTICS = ["repeated_share", "distinct_share", "distinct_runs", "n_words"]
+SAMPLE_TEXTS = 6_000  # texts from which the list is learned; each gives one more with repeats planted
+STATISTICS = ["distinct_words", "distinct_pairs", "distinct_sentences", "n_words"]
 
 _TAG, _INVISIBLE = r"<[^<>]*>|&#?[A-Za-z0-9]+;", r"[\p{Cf}\x{34f}\x{fe00}-\x{fe0f}]"
+_SENTENCE_ENDS = r"[.!?…。！？।؟\n]+"
 
 
 def words_of(text: Column) -> Column:
@@ -32,22 +36,42 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0))
 
 
+def _share(top: Column, bottom: Column, default: float) -> Column:
+    return F.when(bottom > 0, top / bottom).otherwise(F.lit(default))
+
+
 def with_statistics(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with the statistics of ``text``.
+    """``df`` as ``_row`` with the words of ``text`` and its ``STATISTICS``: what the list decides on.
 
-    repeated_share: share of the words that lie in a run of three or more words that stood earlier in the text (runs may
-    overlap, the first occurrence does not count); 0 for texts of fewer than four words, empty and null ones.
-    distinct_share, distinct_runs: distinct among all words and among all runs of three; 1 where there are none.
-    The runs are found by sorting (run hash, position), so long texts cost n log n. Columns of ``df`` with the names of the
-    statistics are replaced, all others stay.
+    distinct_words, distinct_pairs, distinct_sentences: how large a share of the words, of the pairs of neighbouring words
+    and of the sentences is distinct; 1 where there are none.
     """
-    kept = [c for c in df.columns if c not in STATISTICS]
-    d = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), F.col(text).alias("_text"))
-    last = F.size("_words") - RUN
-    run_hash = lambda i: F.xxhash64(*[F.get("_words", i + k) for k in range(RUN)])
-    d = d.withColumn("_words", words_of(F.col("_text")))
-    d = d.withColumn("_runs", F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(run_hash(i).alias("h"), i.alias("i")))).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
-    d = d.withColumn("_sorted", F.sort_array("_runs"))
+    d = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), words_of(F.col(text)).alias("_words"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_low"))
+    parts = F.filter(F.transform(F.split("_low", _SENTENCE_ENDS), lambda x: F.trim(x)), lambda x: x != "")
+    n = F.size("_words")
+    pairs = F.transform(F.slice("_words", 2, F.greatest(n - 1, F.lit(0))), lambda w, i: F.xxhash64(F.get("_words", i), w))
+    d = d.select("_row", "_words", n.alias("_n"), pairs.alias("_pairs"), parts.alias("_parts"))
+    statistics = {
+        "distinct_words": _share(F.size(F.array_distinct("_words")), F.col("_n"), 1.0),
+        "distinct_pairs": _share(F.size(F.array_distinct("_pairs")), F.size("_pairs"), 1.0),
+        "distinct_sentences": _share(F.size(F.array_distinct("_parts")), F.size("_parts"), 1.0),
+        "n_words": F.col("_n").cast("double"),
+    }
+    # The generator of one row keeps later filters above it; pushed below, they would compute the lists once per use.
+    return d.select("_row", F.inline(F.array(F.struct("_words", *[v.alias(k) for k, v in statistics.items()]))))
+
+
+def with_repeated_share(d: DataFrame, words: str, where: Column) -> DataFrame:
+    """``d`` with repeated_share: the share of ``words`` that lie in a run of three or more words that stood earlier.
+
+    Runs may overlap; the first occurrence does not count; 0 for fewer than four words. Measured only ``where``, else null.
+    The runs are found by sorting (run hash, position), so long texts cost n log n.
+    """
+    last = F.size(words) - RUN
+    run_hash = lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(RUN)])
+    d = d.withColumn("_measured", where)
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(run_hash(i).alias("h"), i.alias("i")))
+    d = d.withColumn("_sorted", F.when(F.col("_measured") & (last >= 0), F.sort_array(runs)).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
     again = F.transform("_sorted", lambda x, k: F.when((k > 0) & (F.get("_sorted", k - 1)["h"] == x["h"]), x["i"]))
     d = d.withColumn("_again", F.sort_array(F.array_compact(again)))
     covered = F.aggregate(
@@ -56,44 +80,26 @@ def with_statistics(df: DataFrame, text: str) -> DataFrame:
         lambda a, i: F.struct((a["n"] + F.least(F.lit(RUN), i - a["at"])).alias("n"), i.alias("at")),
         lambda a: a["n"],
     )
-    n = F.size("_words")
-    share = lambda top, bottom, default: F.when(bottom > 0, top / bottom).otherwise(F.lit(default))
-    statistics = {
-        "n_words": n.cast("double"),
-        "repeated_share": share(covered, n, 0.0),
-        "distinct_share": share(F.size(F.array_distinct("_words")), n, 1.0),
-        "distinct_runs": share(F.size(F.array_distinct(F.transform("_runs", lambda x: x["h"]))), F.size("_runs"), 1.0),
-    }
-    # The generator of one row keeps later filters above it; pushed below, they would compute the lists once per use.
-    found = d.select("_row", F.inline(F.array(F.struct(*[v.alias(k) for k, v in statistics.items()]))))
-    return found.select("_row.*", *statistics)
+    return d.withColumn("repeated_share", F.when(F.col("_measured"), _share(covered, F.size(words), 0.0))).drop("_measured", "_sorted", "_again")
 
 
-def plain_words(text: str | None) -> list[str]:
-    """``words_of`` in plain Python, for labels and tests."""
-    t = re.sub(r"<[^<>]*>|&#?[A-Za-z0-9]+;", " ", text or "")
-    t = "".join(c for c in t if unicodedata.category(c) != "Cf" and c != "͏" and not "︀" <= c <= "️").lower()
-    t = "".join(c if unicodedata.category(c)[0] in "LMN" or c in ".,:" else " " for c in t)
-    t = re.sub(r"(?<=\d)[.,:](?=\d)", "", t)
-    t = re.sub(r"[.,:]", " ", t)
-    out: list[str] = []
-    for w in t.split():
-        out += [x for x in re.split(r"(\d+)", w) if x]
-    joined = re.findall(r"\w+", " ".join(re.sub(r"\d+", "0", w) for w in t.split()))
-    return joined if joined or not out else out
+def shares(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with the repeated_share of every text (see ``with_repeated_share``); a column of that name is replaced."""
+    kept = [F.col(f"`{c}`") for c in df.columns if c != "repeated_share"]
+    d = df.select(F.struct(*kept).alias("_row"), words_of(F.col(text)).alias("_words"))
+    return with_repeated_share(d, "_words", F.lit(True)).select("_row.*", "repeated_share")
 
 
-def plain_share(text: str | None) -> float:
+def plain_share(words: list[str]) -> float:
     """The repeated share by comparing runs one by one; labels the sample and checks the expressions."""
-    w = plain_words(text)
     seen: set[tuple[str, ...]] = set()
-    hit = [False] * len(w)
-    for i in range(len(w) - RUN + 1):
-        run = tuple(w[i : i + RUN])
+    hit = [False] * len(words)
+    for i in range(len(words) - RUN + 1):
+        run = tuple(words[i : i + RUN])
         if run in seen:
             hit[i : i + RUN] = [True] * RUN
         seen.add(run)
-    return sum(hit) / len(w) if w else 0.0
+    return sum(hit) / len(words) if len(words) else 0.0
 
 
 @dataclass(frozen=True)
@@ -182,34 +188,49 @@ def as_expression(rules: list[Rule]) -> Column:
     return F.lit(0) if out is None else out.otherwise(0)
 
 
-def labelled_sample(spark: SparkSession, sampled: list[str]) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """Statistics and labels of the sampled texts and of copies with repeats put in: positive from 30 % repeated words.
+def planted(text: str, rng: np.random.Generator) -> str | None:
+    """``text`` with its last words said again between one and a few times; null if it has too few."""
+    w = text.split()
+    if len(w) < RUN:
+        return None
+    k = int(rng.integers(RUN, min(len(w), 12) + 1))
+    return " ".join(w + w[-k:] * int(rng.integers(1, 7)))
 
-    The copies repeat the last words of a text between one and a few times, so that there are positives and near misses
-    whatever the sample holds.
-    """
-    rng = np.random.default_rng(0)
-    texts = list(sampled)
-    for t in sampled[:400]:
-        w = t.split()
-        if len(w) >= RUN:
-            k = int(rng.integers(RUN, min(len(w), 12) + 1))
-            texts.append(" ".join(w + w[-k:] * int(rng.integers(1, 7))))
-    rows = with_statistics(spark.createDataFrame([(t,) for t in texts], "t string"), "t").collect()
-    y = np.array([plain_share(r["t"]) >= LIMIT for r in rows], bool)
-    return {name: np.array([float(r[name]) for r in rows]) for name in STATISTICS}, y
-
-
-def judge(texts: DataFrame, text: str, sample_size: int = 6000) -> DataFrame:
-    """``texts`` with statistics, ``rule`` (0: none) and ``repetitive``.
-
-    The list is learned from at most ``sample_size`` distinct texts. A text is repetitive if a rule covers it and its
-    measured share confirms it. Null and empty texts are not; repeated rows are judged alike; an empty table gives an
-    empty one. Columns of these names are replaced, all others stay.
+
+def labelled_sample(spark: SparkSession, sampled: list[str], seed: int = 0) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Statistics and labels of the sampled texts and of one copy of each with repeats planted.
+
+    Positive from 30 % repeated words, counted run by run over the words of ``words_of``. The planted repeats give positives
+    and near misses whatever the sample holds. Words stay in the tasks; numbers come to the driver.
     """
-    from sightline.llm.common import sample_rows
+    rng = np.random.default_rng(seed)
+    texts = sampled + [t for t in (planted(x, rng) for x in sampled) if t]
+
+    @F.pandas_udf("boolean")
+    def positive(words: pd.Series) -> pd.Series:
+        return words.map(lambda w: plain_share(list(w)) >= LIMIT)
 
+    slices = max(1, min(spark.sparkContext.defaultParallelism, len(texts) // 200))
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(slices)
+    rows = with_statistics(df, "t").select(*STATISTICS, positive("_words").alias("y")).collect()
+    return {name: np.array([float(r[name]) for r in rows]) for name in STATISTICS}, np.array([r["y"] for r in rows], bool)
+
+
+def fit(texts: DataFrame, text: str, sample_size: int = SAMPLE_TEXTS) -> list[Rule]:
+    """A list learned from at most ``sample_size`` distinct texts; it can be kept and given to ``judge``."""
     sampled = [r[0] for r in sample_rows(texts.select(F.col(text).alias("_t")).filter("_t is not null"), ["_t"], sample_size)]
-    rules = learn(*labelled_sample(texts.sparkSession, sampled)) if sampled else []
-    measured = with_statistics(texts, text)
-    return measured.withColumn("rule", as_expression(rules)).withColumn("repetitive", (F.col("rule") > 0) & (F.col("repeated_share") >= LIMIT))
+    return learn(*labelled_sample(texts.sparkSession, sampled)) if sampled else []
+
+
+def judge(texts: DataFrame, text: str, sample_size: int = SAMPLE_TEXTS, rules: list[Rule] | None = None) -> DataFrame:
+    """``texts`` with ``STATISTICS``, ``rule`` (0: none), ``repeated_share`` (null where no rule holds) and ``repetitive``.
+
+    A text is repetitive if a rule of the list covers it and its share, then measured, confirms it. Without ``rules`` the
+    list is learned first, by jobs that run when this is called. Null and empty texts are not repetitive; repeated rows are
+    judged alike; an empty table gives an empty one. Columns of these names are replaced, all others stay.
+    """
+    rules = fit(texts, text, sample_size) if rules is None else rules
+    own = {*STATISTICS, "rule", "repeated_share", "repetitive"}
+    kept = [F.col(f"_row.`{c}`").alias(c) for c in texts.columns if c not in own]
+    d = with_repeated_share(with_statistics(texts, text).withColumn("rule", as_expression(rules)), "_words", F.col("rule") > 0)
+    return d.select(*kept, *STATISTICS, "rule", "repeated_share", F.coalesce(F.col("repeated_share") >= LIMIT, F.lit(False)).alias("repetitive"))

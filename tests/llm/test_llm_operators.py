@@ -13,21 +13,27 @@ from sightline.llm import epoch_sample, leakage, mixing, repetition, sentences,
 
 
 def _shares(spark, texts):
-    df = spark.createDataFrame([(i, t, "x", 5) for i, t in enumerate(texts)], "id int, text string, _words string, n_words int")
-    return {r["id"]: r for r in repetition.with_statistics(df, "text").collect()}
+    df = spark.createDataFrame([(i, t, "x", 5.0) for i, t in enumerate(texts)], "id int, text string, _words string, repeated_share double")
+    return {r["id"]: r for r in repetition.shares(df, "text").collect()}
 
 
 def test_repeated_share_equals_brute_force(spark):
     rng = random.Random(3)
-    words = ["a", "b", "cat", "Dog", "12", "7.5", "é", "<b>", "x-y"]
+    words = ["a", "b", "cat", "Dog", "12", "7.5", "é", "<b>", "x-y", "हिन्दी", "में"]
     texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 40))) for _ in range(200)]
     texts += [None, "", "  \n\t", "one", "a a a a a a", "1 2 3 4 5 6", "The cat sat. the CAT sat!", "q​q r s qq r s"]
     got = _shares(spark, texts)
-    for i, t in enumerate(texts):
-        assert math.isclose(got[i]["repeated_share"], repetition.plain_share(t)), t
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for r in df.select("id", repetition.words_of(F.col("text")).alias("w")).collect():
+        assert math.isclose(got[r["id"]]["repeated_share"], repetition.plain_share(r["w"])), texts[r["id"]]
     assert got[len(texts) - 1]["_words"] == "x"  # a column of a clashing name stays
 
 
+def test_words_keep_their_marks_and_lose_tags(spark):
+    df = spark.createDataFrame([("हिन्दी में <b>Two</b> 7.5 x-y&nbsp;q​q",)], "t string")
+    assert df.select(repetition.words_of(F.col("t"))).first()[0] == ["हिन्दी", "में", "two", "0", "x", "y", "qq"]
+
+
 def test_runs_may_overlap(spark):
     got = _shares(spark, ["a a a a a a", "b c d b c d", "b c d x b c"])
     assert [round(got[i]["repeated_share"], 4) for i in range(3)] == [round(5 / 6, 4), 0.5, 0.0]
@@ -50,15 +56,28 @@ def test_decision_list_separates_and_prunes():
 
 
 def test_judge_names_repetitive_texts_and_keeps_columns(spark):
-    rows = [(i, f"the plain text number {i} about a chair and one lamp near door {i * 7}", "k") for i in range(60)]
-    rows += [(100, "go home now " * 9, "k"), (101, None, None), (102, "", "k"), (100, "go home now " * 9, "k")]
-    df = spark.createDataFrame(rows, "id int, text string, rule string")
+    rows = [(i, f"the plain text number {i} about a chair and one lamp near door {i * 7}", "k", "z") for i in range(60)]
+    rows += [(100, "go home now " * 9, "k", "z"), (101, None, None, "z"), (102, "", "k", "z"), (100, "go home now " * 9, "k", "z")]
+    df = spark.createDataFrame(rows, "id int, text string, rule string, _row string")
     out = repetition.judge(df, "text")
     assert [r["id"] for r in out.filter("repetitive").collect()] == [100, 100]
-    assert out.count() == len(rows)
+    assert out.count() == len(rows) and {r["_row"] for r in out.collect()} == {"z"}
     assert repetition.judge(df.limit(0), "text").count() == 0
 
 
+def test_the_list_alone_finds_held_out_repeats(spark, data):
+    """Learned on one half of the texts, without the share itself: recall and precision on the other half."""
+    from sightline.llm import queries
+
+    texts = [r[0] for r in queries._texts(spark, data).select("text").filter("text is not null").distinct().orderBy("text").collect()]
+    learned = repetition.labelled_sample(spark, texts[::2], seed=1)
+    x, y = repetition.labelled_sample(spark, texts[1::2], seed=2)
+    rules = repetition.learn(*learned)
+    assert rules and all(c.column != "repeated_share" for r in rules for c in r)
+    hit = sum(repetition._covered(r, x) for r in rules) > 0
+    assert (hit & y).sum() >= 0.95 * y.sum() and (hit & y).sum() >= 0.95 * hit.sum() and 20 < y.sum() < len(y)
+
+
 # --- top N
 
 
