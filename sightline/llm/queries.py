@@ -30,9 +30,18 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return repetition.judge(spread(_texts(spark, d)), "text").filter("repetitive").select("record_table", "record_id").distinct()
 
 
-def p2_found(spark: SparkSession, d: str) -> DataFrame:
+def _regions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     grounded = table(spark, d, "grounded_entities", "region_id", "image_id", "grounder_support", "median_pairwise_iou", "recorded_at", "ingested_at")
-    return topn.best_regions(grounded, table(spark, d, "route_b", "image_id")).select("image_id", "place", "region_id")
+    return grounded, table(spark, d, "route_b", "image_id")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return topn.best_regions(*_regions(spark, d)).select("image_id", "place", "region_id")
+
+
+def p2_skipping(spark: SparkSession, d: str) -> DataFrame:
+    """How many row groups the search for the best regions read and skipped."""
+    return topn.region_skipping(*_regions(spark, d))
 
 
 def p3_rates(spark: SparkSession, d: str) -> DataFrame:
@@ -110,7 +119,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_shares, p1_found, p2_found, p3_rates, p3_found, p4_sample, p5_terms, p5_found, p6_leaks, p6_found, p7_report, p7_members, p7_found, p8_sentences, p8_found)}
+    return {f.__name__: f for f in (p1_shares, p1_found, p2_found, p2_skipping, p3_rates, p3_found, p4_sample, p5_terms, p5_found, p6_leaks, p6_found, p7_report, p7_members, p7_found, p8_sentences, p8_found)}
 
 
 _P2 = """

@@ -82,7 +82,8 @@ def test_the_list_alone_finds_held_out_repeats(spark, data):
 
 
 def _brute_top(rows, groups, n):
-    key = lambda r: (-(r[2] if r[2] is not None and r[2] == r[2] else -math.inf), -(r[3] if r[3] is not None and r[3] == r[3] else -math.inf), r[1])
+    falling = lambda x: (x is None or x != x, -x if x is not None and x == x else 0)
+    key = lambda r: (falling(r[2]), falling(r[3]), r[1])
     out = []
     for g in groups:
         mine = sorted([r for r in rows if r[0] == g], key=key)[:n]
@@ -100,6 +101,20 @@ def test_top_n_with_a_hot_group_ties_nulls_and_nan(spark):
     assert got == _brute_top(rows, ["hot", "g1", "g2", "g7"], 5)
 
 
+@pytest.mark.parametrize("fractional", [False, True])
+def test_row_groups_of_many_small_groups_are_skipped(spark, monkeypatch, fractional):
+    monkeypatch.setattr(topn, "ROW_GROUP_ROWS", (200, 200))
+    rng = random.Random(9)
+    score = (lambda g: rng.choice([None, g % 7 + rng.random() * 3, float("nan")])) if fractional else (lambda g: rng.choice([None, g % 7 + rng.randint(0, 3), g % 7]))
+    rows = [(f"g{i % 150}", f"r{i:05d}", score(i % 150), rng.choice([0.5, None, rng.random(), float("inf"), -float("inf")])) for i in range(9000)]
+    items = spark.createDataFrame(rows, f"g string, item string, s {'double' if fractional else 'int'}, m double")
+    groups = spark.createDataFrame([(f"g{k}",) for k in range(140)], "g string")
+    got = sorted((r["g"], r["place"], r["item"]) for r in topn.top_n(items, groups, "g", "item", "s", "m", 5).collect())
+    assert got == _brute_top(rows, [f"g{k}" for k in range(140)], 5)
+    figures = topn.skipping(items, groups, "g", "item", "s", "m", 5).first()
+    assert figures["row_groups_skipped"] >= 5 and figures["row_groups_read"] >= 5
+
+
 def test_top_n_of_nothing(spark):
     items = spark.createDataFrame([], "g string, item string, s int, m double")
     groups = spark.createDataFrame([], "g string")
