@@ -84,8 +84,9 @@ def rake(cells: pd.DataFrame, rounds: int = 60, tolerance: float = 1e-9) -> pd.D
     """Expected uses of the documents of each cell of one mix.
 
     ``cells``: source, lang, topic, tokens, weight, max_repeats (NaN: no cap); one row at least for each source listed.
-    The result adds size (of the source), goal, reachable (goal, or what the cap allows), short and uses. Sources are
-    met exactly; languages and topics as nearly as the sources and caps allow.
+    The result adds size (of the source), goal, reachable (goal, or what the cap allows), uses and short: the source has no
+    tokens, or the fitted cells of it reach less than its goal. Sources are met exactly; languages and topics as nearly as
+    the sources and caps allow.
     """
     c = cells.reset_index(drop=True).copy()
     tokens = c["tokens"].to_numpy(float)
@@ -98,7 +99,6 @@ def rake(cells: pd.DataFrame, rounds: int = 60, tolerance: float = 1e-9) -> pd.D
     goal = tokens.sum() * (weight / weight.sum() if weight.sum() > 0 else 0 * weight)
     most = np.where(size > 0, size * np.where(size > 0, cap, 0), 0.0)
     reachable = np.minimum(goal, most)
-    short = (size <= 0) | (most < goal)
     held = tokens > 0
     w = np.where(held, tokens, 0.0)
     wanted = {id(k): total(k, tokens) / max(tokens.sum(), 1) * reachable.sum() for k in (lang, topic)}
@@ -129,6 +129,7 @@ def rake(cells: pd.DataFrame, rounds: int = 60, tolerance: float = 1e-9) -> pd.D
         if np.allclose(w, before, rtol=1e-7):
             break
     c["uses"] = np.divide(w, tokens, out=np.zeros_like(w), where=held)
+    short = (size <= 0) | (total(source, w) < goal * (1 - 1e-6))  # told by what the fitted cells reach
     c["size"], c["goal"], c["reachable"], c["short"] = size[source], goal[source], reachable[source], short[source]
     return c
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sightline.llm import epoch_sample, leakage, mixing, repetition, sentences, term_counts, topn, truncation
 from sightline.llm.common import caption_texts, spread
+from sightline.session import scratch_path
 from sightline.sources import table
 
 SAMPLE_SEED = 20250101
@@ -56,8 +57,9 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_sample(spark: SparkSession, d: str) -> DataFrame:
-    """Every chosen image with its first delivery, frozen rate and draw."""
-    ledger = epoch_sample.first_seen(table(spark, d, "manifest", "image_id", "batch_no"), "image_id", "batch_no", SAMPLE_RATES)
+    """Every chosen image with its first delivery, frozen rate and draw, after the deliveries came in their order."""
+    rows = table(spark, d, "manifest", "image_id", "batch_no")
+    ledger = epoch_sample.replay(rows, "image_id", "batch_no", SAMPLE_RATES, scratch_path(spark, "ledger"))
     picked = epoch_sample.chosen(ledger, SAMPLE_SEED)
     return picked.select(F.col("key").alias("image_id"), "first_epoch", "rate", "draw")
 

@@ -222,6 +222,29 @@ def test_chosen_records_stay_chosen_as_data_and_rates_change(spark):
     assert {r[0] for r in later.filter("first_epoch = 2").select("rate").distinct().collect()} == {0.01}
 
 
+def test_a_ledger_grows_by_deliveries_and_keeps_its_parts(spark, tmp_path):
+    rows = lambda ids: spark.createDataFrame([(f" IMG{i} ", "x") for i in ids] + [(None, "x")], "image_id string, key string")
+    path = f"file://{tmp_path}/ledger"
+    rates = {0: 0.3}
+    one = {tuple(r) for r in epoch_sample.deliver(spark, path, rows(range(800)), "image_id", 1, rates).collect()}
+    rates[2] = 0.05  # a later rate, frozen for later deliveries only
+    two = {tuple(r) for r in epoch_sample.deliver(spark, path, rows(range(400, 1200)), "image_id", 2, rates).collect()}
+    assert one < two and len(two) == 1200 and {r[1:] for r in two - one} == {(2, 0.05)} and {r[1:] for r in one} == {(1, 0.3)}
+    again = {tuple(r) for r in epoch_sample.deliver(spark, path, rows(range(400, 1200)), "image_id", 2, rates).collect()}
+    assert again == two
+    before = {r["key"] for r in epoch_sample.chosen(spark.createDataFrame(sorted(one), epoch_sample.LEDGER)).collect()}
+    assert before <= {r["key"] for r in epoch_sample.chosen(epoch_sample.read_ledger(spark, path)).collect()} and len(before) > 150
+
+
+def test_a_replay_is_the_first_seen_ledger(spark, tmp_path):
+    rng = random.Random(12)
+    df = spark.createDataFrame([(rng.choice([None, " ", "A", "a "]) if i % 9 == 0 else f"k{rng.randint(0, 60)}", rng.choice([None, 0, 1, 2, 5])) for i in range(400)], "image_id string, batch int")
+    rates = {0: 0.5, 2: 0.1}
+    replayed = epoch_sample.replay(df, "image_id", "batch", rates, f"file://{tmp_path}/ledger")
+    assert sorted(map(tuple, replayed.collect())) == sorted(map(tuple, epoch_sample.first_seen(df, "image_id", "batch", rates).collect()))
+    assert epoch_sample.replay(df.limit(0), "image_id", "batch", rates, f"file://{tmp_path}/none").count() == 0
+
+
 def test_sample_edges(spark):
     df = spark.createDataFrame([(None, 1), ("  ", 1), ("a", None), ("A ", 3), ("a", 3)], "image_id string, batch int")
     ledger = epoch_sample.first_seen(df, "image_id", "batch", {2: 1.0})
@@ -335,6 +358,24 @@ def test_rake_meets_sources_and_caps():
     assert math.isclose(first["goal"].sum(), 400)
 
 
+def test_shares_of_the_registered_mixes_are_near_their_goals(spark, data):
+    """Over ten thousand documents every source reaches what it can within 5 % or two longest documents, and in mixes
+    without short sources every share is within 0.02 of its goal."""
+    from sightline.llm import queries
+
+    sizes, fitted = queries._mix(spark, data.replace("sf0.001", "sf0.1"))
+    rows = mixing.report(sizes, fitted).collect()
+    longest = sizes.agg(F.max("tokens")).first()[0]
+    assert sum(not r["short"] for r in rows) > 10
+    for mix in {r["mix_id"] for r in rows}:
+        mine = [r for r in rows if r["mix_id"] == mix]
+        whole = sum(r["goal"] for r in mine)
+        for r in mine:
+            if not r["short"]:
+                assert abs(r["reached"] - r["goal"]) <= 0.05 * r["goal"] + 2 * longest, r
+                assert any(x["short"] for x in mine) or abs(r["share"] - r["goal"] / whole) <= 0.02, r
+
+
 def test_mixes_end_to_end(spark):
     docs = [(i, " Alpha " if i % 2 else "beta", "en" if i % 3 else "deu", f"some words and number {i}") for i in range(400)]
     docs += [(900, None, None, "x"), (901, "beta", None, None), (902, "gamma", "xx", "  "), (903, "beta", "en", "")]
