@@ -2,8 +2,11 @@
 
 import math
 import random
+import unicodedata
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,8 +49,6 @@ def test_very_long_text(spark):
 
 
 def test_decision_list_separates_and_prunes():
-    import numpy as np
-
     x = {"a": np.array([0.1, 0.2, 0.3, 0.7, 0.8, 0.9] * 20), "b": np.arange(120.0)}
     y = x["a"] > 0.5
     rules = repetition.learn(x, y)
@@ -336,7 +337,22 @@ def test_leaks_of_nothing(spark):
 
 
 def test_tokens_set_form_aside():
-    assert leakage.tokens("Di\xade <b>STRASSE</b>, café &nbsp; ﬁn 图67里") == ["die", "strasse", "café", "fin", "图", "67", "里"]
+    composed, apart = "caf\u00e9", "cafe\u0301"
+    got = [unicodedata.normalize("NFC", w) for w in leakage.tokens(f"Di\xade <b>STRASSE</b>, {composed} &nbsp; ﬁn 图67里")]
+    assert got == ["die", "strasse", composed, "fin", "图", "67", "里"]
+    assert leakage.tokens(apart) == leakage.tokens(composed) and leakage.tokens("Straße") == leakage.tokens("STRASSE")
+    assert leakage.tokens(None) == leakage.tokens(" . ") == []
+
+
+def test_postings_of_a_batch():
+    text = pa.array([None, "b a  b", "", "A c"])
+    hashes = leakage.term_hashes(pa.array(["a", "b"]))
+    wanted = np.zeros(1 << leakage.FIELD_BITS, bool)
+    wanted[leakage.field_places(hashes)] = True
+    got = leakage.postings(pa.array([7, 8, 9, 10]), pa.array([1, 2, 3, None], pa.int64()), text, np.packbits(wanted, bitorder="little"))
+    names = dict(zip(hashes.tolist(), "ab"))
+    rows = {(names[r["term"]], r["row_no"], r["doc_id"], tuple(r["positions"])) for r in got.to_pylist()}
+    assert rows == {("a", 8, 2, (1,)), ("b", 8, 2, (0, 2)), ("a", 10, None, (0,))}
 
 
 # --- mixing
