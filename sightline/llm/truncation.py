@@ -3,7 +3,8 @@
 Intact values of a bounded sample are cut artificially: inside words, after words that never close a text, and at the
 lengths where the table's texts pile up (its field limits). The classifier learns from hashed features of the closing
 characters and words, the punctuation and the distance to a limit, and then scores every record. Which words are known
-and which can close a text is counted over all texts; only the regression is fitted to the sample.
+and which can close a text is counted over all texts; only the regression is fitted to the sample. Cutting, counting and
+fitting run in tasks; the driver hands the fitted weights on.
 
 What counts as cut: the text stops inside a word, inside an open quotation, or on a word that cannot close the phrase,
 whatever mark was left at the break. A missing final stop, dots added at the end or a damaged letter are no cut.
@@ -13,21 +14,20 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sightline.llm.common import sample_rows
 from sightline.session import written
 
 BITS = 18
 SAMPLE_TEXTS = 6_000  # texts of one table from which the classifier is trained
-LIMITS = 8  # field limits looked for in one table
+LIMIT_TIMES, LIMIT_DEVIATIONS = 3, 6  # a field limit is a length that stands out so many times and standard deviations
+TAIL_WORDS = 6  # words at the end of a text that its features see, however long they are
 #: Shares of a word's occurrences that stand at an end: below the first it cannot close a text, above the second it can.
 NEVER_CLOSES, CLOSES = 0.006, 0.01
 #: A word is known if it stands inside texts so often, and this share of its occurrences is inside: a piece left by cuts
@@ -48,15 +48,19 @@ def _class(word: str) -> str:
 def tidy(text: str) -> tuple[str, str]:
     """The text without blanks and marks of a break at its end, and the kind of mark ('' if none)."""
     text = _INVISIBLE.sub("", text).replace("\xa0", " ").rstrip()
-    cut = max(0, len(text) - 200)  # marks are short
-    found = _MARK.search(text, cut)
-    if not found:
-        return text, ""
-    left = text[: found.start()].rstrip()
-    mark = found.group().strip()
-    if not left:
-        return text, ""
-    return left, "dots" if set(mark) <= set(".…") else "other"
+    left, kind = text, ""
+    while found := _MARK.search(left, max(0, len(left) - 200)):  # marks are short; a longer row of them is taken off in turns
+        shorter = left[: found.start()].rstrip()
+        if not shorter:
+            return text, ""
+        left, kind = shorter, "other" if kind == "other" or not set(found.group().strip()) <= set(".…") else "dots"
+    return left, kind
+
+
+def _tail(text: str) -> str:
+    """The end of ``text`` from the ``TAIL_WORDS``-th blank from its end on."""
+    parts = text.rsplit(None, TAIL_WORDS)
+    return text[len(parts[0]) :] if len(parts) > TAIL_WORDS else text
 
 
 @dataclass(frozen=True)
@@ -67,14 +71,14 @@ class Model:
 
 def last_word(text: str) -> str:
     """The class of the last word of ``text`` ('' if none), as ``features`` sees it."""
-    words = _WORD.findall(tidy(text)[0][-120:])
+    words = _WORD.findall(_tail(tidy(text)[0]))
     return _class(words[-1]) if words else ""
 
 
 def features(text: str, table: str, known: frozenset[str] | set[str], limits: tuple[int, ...], shown: int | None = None) -> list[int]:
     """Hashed feature numbers of how ``text`` closes. ``shown``: its length as stored, if it differs."""
     left, mark = tidy(text)
-    tail = left[-120:]
+    tail = _tail(left)
     stop = re.search(r"[\W_]*$", tail).group().strip()
     words = _WORD.findall(tail)
     last = words[-1] if words else ""
@@ -85,7 +89,7 @@ def features(text: str, table: str, known: frozenset[str] | set[str], limits: tu
     is_known = "k" if w in known or w == "0" else "n"
     opened = left.count('"') % 2 == 1
     length = len(text.rstrip()) if shown is None else shown
-    near = "at" if any(length in (x, x - 1) for x in limits) else "no"
+    near = "at" if length in limits or length + 1 in limits else "no"
     ended = "." if stop[:1] in (".", "!", "?") else '"' if '"' in stop else stop[:1]
     damaged = "�" in last or stop[:1] == "�"
     out = [f"w={w}", f"p={p1} {w}", f"pp={p2} {p1} {w}", f"ks={is_known}{shape}", f"kse={is_known}{shape}{ended}", f"pk={p1} {is_known}", f"ps={p1} {w[-1:]}", f"end={ended}", f"open={opened}", f"openend={opened}{ended}", f"near={near}", f"neark={near}{is_known}", f"mark={mark}", f"dam={damaged}", f"len={min(len(w), 8)}{is_known}"]
@@ -170,12 +174,19 @@ def is_known(inside: Column, last: Column) -> Column:
     return (inside >= KNOWN_INSIDE) & (inside >= KNOWN_SHARE * (inside + last))
 
 
-def examples(texts: list[str], table: str, limits: tuple[int, ...], known: frozenset[str], total: Counter, ends: Counter, rng: np.random.Generator) -> tuple[list, list, list]:
+def cut_spots(text: str, limits: tuple[int, ...], seed: int) -> list[int]:
+    """Where ``text`` is cut artificially: seven places in its later two thirds, and its table's limits."""
+    rng = np.random.default_rng([seed, zlib.crc32(text.encode()), 1])
+    return [int(k) for k in rng.integers(max(4, len(text) // 3), max(5, len(text)), size=7)] + [x for x in limits if x < len(text)]
+
+
+def examples(text: str, table: str, limits: tuple[int, ...], known: frozenset[str], total: dict[str, int], ends: dict[str, int], seed: int = 0) -> tuple[list, list, list]:
     """Features, labels and weights from intact values and their artificial cuts.
 
     Intact are the inner sentences, and whole texts that stop short of the limits on a word which closes texts elsewhere.
     """
     xs, ys, ws = [], [], []
+    rng = np.random.default_rng([seed, zlib.crc32(text.encode())])
 
     def add(t: str, y: int, weight: float = 1.0, shown: int | None = None) -> None:
         xs.append(features(t, table, known, limits, shown))
@@ -185,94 +196,113 @@ def examples(texts: list[str], table: str, limits: tuple[int, ...], known: froze
     def closing(word: str) -> int | None:
         """1: cannot close, 0: can close, None: not known."""
         c = _class(word)
-        n = total[c]
+        n = total.get(c, 0)
         if n < 12:
             return None
-        rate = ends[c] / n
+        rate = ends.get(c, 0) / n
         return 1 if rate < NEVER_CLOSES else 0 if rate > CLOSES else None
 
     def intact(t: str) -> bool:
-        words = _WORD.findall(t[-80:])
+        words = _WORD.findall(_tail(t))
         return bool(words) and t.count('"') % 2 == 0 and closing(words[-1]) == 0 and len(t) not in limits
 
-    for raw in texts:
-        t = tidy(raw)[0]
-        whole = [m.start() for m in _SENTENCE.finditer(t)]
-        stops = [t[:k] for k in whole] + ([t] if intact(t) else [])
-        if not stops:
+    t = tidy(text)[0]
+    whole = [m.start() for m in _SENTENCE.finditer(t)]
+    closed = [len(t)] if intact(t) else []
+    stops = whole + closed
+    if not stops:
+        return xs, ys, ws
+    for stop in sorted({stops[int(k)] for k in rng.integers(len(stops), size=2)} | set(closed)):
+        s = t[:stop]
+        bare = re.sub(r"[.!?]+$", "", s)
+        add(s, 0)
+        add(bare, 0)
+        kind = rng.integers(5)
+        if kind == 0:
+            add(bare + str(rng.choice(["...", "…", " ..."])), 0)
+        elif kind == 1 and len(bare) > 3:
+            k = len(bare) - 1 - int(rng.integers(3))
+            add(bare[:k] + "�" + bare[k + 1 :], 0, 0.5)
+        elif kind == 2:
+            add(bare + str(rng.choice([",", ";"])), 0, 0.5)
+    for k in cut_spots(t, limits, seed):
+        cut = t[:k]
+        words = _WORD.findall(_tail(cut))
+        if not words or k >= len(t):
+            continue
+        inside = cut[-1:].isalnum() and t[k : k + 1].isalnum()
+        quoted = cut.count('"') % 2 == 1
+        capital = words[-1][:1].isupper()
+        label = 1 if inside or quoted else closing(words[-1])
+        weight = 1.0
+        if label is None and capital:
+            label, weight = 0, 0.5
+        if label is None:
             continue
-        for s in {stops[int(k)] for k in rng.integers(len(stops), size=2)} | ({t} if intact(t) else set()):
-            bare = re.sub(r"[.!?]+$", "", s)
-            add(s, 0)
-            add(bare, 0)
-            kind = rng.integers(5)
-            if kind == 0:
-                add(bare + str(rng.choice(["...", "…", " ..."])), 0)
-            elif kind == 1 and len(bare) > 3:
-                k = len(bare) - 1 - int(rng.integers(3))
-                add(bare[:k] + "�" + bare[k + 1 :], 0, 0.5)
-            elif kind == 2:
-                add(bare + str(rng.choice([",", ";"])), 0, 0.5)
-        spots = [int(k) for k in rng.integers(max(4, len(t) // 3), max(5, len(t)), size=7)] + [x for x in limits if x < len(t)]
-        for k in spots:
-            cut = t[:k]
-            words = _WORD.findall(cut[-60:])
-            if not words or k >= len(t):
-                continue
-            inside = cut[-1:].isalnum() and t[k : k + 1].isalnum()
-            quoted = cut.count('"') % 2 == 1
-            capital = words[-1][:1].isupper()
-            label = 1 if inside or quoted else closing(words[-1])
-            weight = 1.0
-            if label is None and capital:
-                label, weight = 0, 0.5
-            if label is None:
-                continue
-            if label == 0 and not inside:
-                weight = 0.5
-            shown = k if k in limits else None
-            add(cut + (str(rng.choice([" ...", "…", " [...]", "..."])) if rng.random() < 0.15 else ""), label, weight, shown)
+        if label == 0 and not inside:
+            weight = 0.5
+        shown = k if k in limits else None
+        add(cut + (str(rng.choice([" ...", "…", " [...]", "..."])) if rng.random() < 0.15 else ""), label, weight, shown)
     return xs, ys, ws
 
 
 def field_limits(texts: DataFrame, text: str, table: str) -> dict[str, tuple[int, ...]]:
-    """For each table the lengths at which far more texts stop than at the lengths around them.
+    """For each table every length at which far more texts stop than at the lengths around them.
 
-    The lengths of all texts are counted; for each table the ``LIMITS`` most outstanding ones are brought to the driver.
+    A length stands out if its count is ``LIMIT_TIMES`` what is usual around it and ``LIMIT_DEVIATIONS`` standard deviations
+    of a count above that. The lengths of all texts are counted in tasks.
     """
-    from pyspark.sql import Window
-
-    counted = texts.filter(F.col(text).isNotNull()).groupBy(F.col(table).alias("t"), F.length(text).alias("n")).count().filter("n > 20")
+    counted = texts.filter(F.col(text).isNotNull()).groupBy(F.col(table).alias("t"), F.length(text).alias("n")).count().filter("n > 0")
     around = Window.partitionBy("t").orderBy("n").rangeBetween(-6, 6)
-    excess = counted.withColumn("usual", (F.sum("count").over(around) - F.col("count")) / 12).withColumn("over", F.col("count") / (F.col("usual") + 2))
-    best = Window.partitionBy("t").orderBy(F.desc("over"), "n")
-    rows = excess.filter("over >= 3 and count >= 8").withColumn("k", F.row_number().over(best)).filter(F.col("k") <= LIMITS).collect()
+    usual = (F.sum("count").over(around) - F.col("count")) / 12
+    excess = counted.withColumn("usual", usual).filter((F.col("count") >= LIMIT_TIMES * F.col("usual")) & (F.col("count") - F.col("usual") >= LIMIT_DEVIATIONS * F.sqrt(F.col("usual") + 1)))
     out: dict[str, list[int]] = {}
-    for r in rows:
+    for r in excess.select("t", "n").collect():
         out.setdefault(r["t"], []).append(r["n"])
     return {t: tuple(sorted(v)) for t, v in out.items()}
 
 
-def sample_words(samples: dict[str, list[str]]) -> set[str]:
-    """Every word that the sampled texts or their artificial cuts may end on, pieces of words among them."""
-    out: set[str] = set()
-    for texts in samples.values():
-        for t in texts:
-            for w in _WORD.findall(t):
-                out.update(_class(w[:k]) for k in range(1, min(len(w), 60) + 1))
-                out.add(_class(w))
-    return out
+def fit(sample: DataFrame, words: DataFrame, limits: dict[str, tuple[int, ...]], seed: int = 0) -> Model:
+    """A model from the sampled texts (_table, _text) and what is known of their words from all texts.
 
+    The examples are made in tasks, each text's by random numbers of its own; one task fits them, in the order of the texts.
+    """
+    spark = sample.sparkSession
 
-def fit(samples: dict[str, list[str]], limits: dict[str, tuple[int, ...]], known: frozenset[str], total: Counter, ends: Counter, seed: int = 0) -> Model:
-    """A model from the sampled texts of each table and what is known of their words from all texts."""
-    rng = np.random.default_rng(seed)
-    x, y, w = [], [], []
-    for table, texts in samples.items():
-        for a, b in zip((x, y, w), examples(texts, table, limits.get(table, ()), known, total, ends, rng)):
-            a += b
-    weights = train(_matrix(x), np.array(y, float), np.array(w, float)) if x else np.zeros((1 << BITS) + 1)
-    return Model(weights, limits)
+    def ending(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Every word that the sampled texts or their artificial cuts end on."""
+        for batch in batches:
+            out: set[str] = set()
+            for name, raw in zip(batch["_table"], batch["_text"]):
+                t = tidy(raw)[0]
+                out.update(_class(w) for w in _WORD.findall(t))
+                out.update(last_word(t[:k]) for k in cut_spots(t, limits.get(name, ()), seed))
+            yield pd.DataFrame({"word": sorted(out)})
+
+    asked = sample.mapInPandas(ending, "word string").distinct()
+    told = words.filter("known or total >= 12").join(asked, "word", "left_semi").select("word", "known", "total", "ends").collect()  # of the sample's words only
+    facts = spark.sparkContext.broadcast((frozenset(r["word"] for r in told if r["known"]), {r["word"]: r["total"] for r in told}, {r["word"]: r["ends"] for r in told}))
+
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, total, ends = facts.value
+        for batch in batches:
+            rows = []
+            for t, text in zip(batch["_table"], batch["_text"]):
+                parts = examples(text, t, limits.get(t, ()), known, total, ends, seed)
+                rows += [(t, zlib.crc32(text.encode()), k, *one) for k, one in enumerate(zip(*parts))]
+            yield pd.DataFrame(rows, columns=["t", "number", "k", "x", "y", "w"])
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        x, y, w = [np.zeros((0, WIDTH), np.int32)], [np.zeros(0)], [np.zeros(0)]
+        for batch in batches:
+            x.append(_matrix(batch["x"].tolist()))
+            y.append(batch["y"].to_numpy(float))
+            w.append(batch["w"].to_numpy(float))
+        yield pd.DataFrame({"weights": [train(np.concatenate(x), np.concatenate(y), np.concatenate(w)).tobytes()]})
+
+    made = sample.mapInPandas(make, "t string, number bigint, k int, x array<int>, y double, w double")
+    fitted = made.repartition(1).sortWithinPartitions("t", "number", "k").mapInPandas(learn, "weights binary").first()
+    return Model(np.frombuffer(bytes(fitted["weights"])) if fitted else np.zeros((1 << BITS) + 1), limits)
 
 
 def scores(texts: list[str], tables: list[str], known: list[bool], model: Model) -> np.ndarray:
@@ -283,23 +313,29 @@ def scores(texts: list[str], tables: list[str], known: list[bool], model: Model)
     return np.where(blank, -np.inf, z)
 
 
-def score_all(texts: DataFrame, table: str, text: str, sample_texts: int = SAMPLE_TEXTS) -> DataFrame:
+def prepared(texts: DataFrame, table: str, text: str, sample_texts: int = SAMPLE_TEXTS) -> tuple[Model, DataFrame]:
+    """The fitted model and the stored words of all distinct texts (word, inside, total, ends, last, known).
+
+    Of every table the ``sample_texts`` texts with the least hash are the sample.
+    """
+    limits = field_limits(texts, text, table)
+    once = written(texts.filter(F.length(F.trim(text)) > 0).select(F.col(table).alias("_table"), F.col(text).alias("_text")).distinct(), "texts")
+    words = written(word_counts(once, "_table", "_text", limits).withColumn("known", is_known(F.col("inside"), F.col("last"))), "words")
+    least = Window.partitionBy("_table").orderBy(F.xxhash64(F.lit(0), "_text"), "_text")
+    sample = once.withColumn("_n", F.row_number().over(least)).filter(F.col("_n") <= sample_texts).drop("_n")
+    spread = once.sparkSession.sparkContext.defaultParallelism
+    return fit(written(sample.repartition(spread, "_text"), "sample"), words, limits), words
+
+
+def score_all(texts: DataFrame, table: str, text: str, sample_texts: int = SAMPLE_TEXTS, fitted: tuple[Model, DataFrame] | None = None) -> DataFrame:
     """``texts`` with ``cut_score`` (log-odds) and ``cut`` (score over 0) for every row; extra columns stay.
 
     Null and blank texts are not cut. With nothing to train from no text is. Words are counted over all distinct texts of
-    a table; the list of known words is joined to the last words, so its length may grow with the texts.
+    a table; the list of known words is joined to the last words, so its length may grow with the texts. Without
+    ``fitted`` (see ``prepared``) the counting and fitting run when this is called.
     """
-    spark = texts.sparkSession
-    names = [r[0] for r in texts.select(table).distinct().limit(100).collect()]  # tables, not records
-    limits = field_limits(texts, text, table)
-    once = written(texts.filter(F.length(F.trim(text)) > 0).select(table, text).distinct(), "texts")
-    samples = {n: [r[0] for r in sample_rows(once.filter(F.col(table) == n), [text], sample_texts)] for n in names}
-    words = written(word_counts(once, table, text, limits).withColumn("known", is_known(F.col("inside"), F.col("last"))), "words")
-    asked = spark.createDataFrame([(w,) for w in sorted(sample_words(samples))], "word string")
-    told = words.join(F.broadcast(asked), "word").filter("known or total >= 12").select("word", "known", "total", "ends").collect()  # of the sample's words only
-    total, ends = Counter({r["word"]: r["total"] for r in told}), Counter({r["word"]: r["ends"] for r in told})
-    known = frozenset(r["word"] for r in told if r["known"])
-    model = spark.sparkContext.broadcast(fit({n: v for n, v in samples.items() if v}, limits, known, total, ends))
+    fitted_model, words = fitted or prepared(texts, table, text, sample_texts)
+    model = texts.sparkSession.sparkContext.broadcast(fitted_model)
 
     @F.pandas_udf("string")
     def closing(t: pd.Series) -> pd.Series:

@@ -179,7 +179,8 @@ def test_words_are_counted_beyond_the_sample(spark, monkeypatch):
     whole = _captions()
     named = [f"{w} A quiet basket stands behind the heavy basket." for w in whole[:60]]
     df = spark.createDataFrame([("t", i, t) for i, t in enumerate(whole + named)], "tab string, id int, text string")
-    monkeypatch.setattr(truncation, "sample_rows", lambda frame, columns, n: [(t,) for t in whole[:1000]])
+    fit = truncation.fit
+    monkeypatch.setattr(truncation, "fit", lambda sample, *rest: fit(spark.createDataFrame([("t", t) for t in whole[:1000]], "_table string, _text string"), *rest))
     got = {r["id"] for r in truncation.score_all(df, "tab", "text").filter("cut").select("id").collect()}
     assert len(got & set(range(len(whole), len(whole) + 60))) <= 3
 
@@ -196,6 +197,21 @@ def test_truncation_of_nothing(spark):
     assert truncation.score_all(df, "tab", "text").count() == 0
 
 
+def test_every_length_that_stands_out_is_a_limit(spark):
+    rng = random.Random(4)
+    limits = [15 + 20 * k for k in range(12)]
+    rows = [(f"t{k % 130}", "x" * rng.randint(5, 300)) for k in range(2600)] + [("big", "y" * rng.randint(5, 300)) for k in range(3000)]
+    rows += [("big", "z" * n) for n in limits for _ in range(90)]
+    found = truncation.field_limits(spark.createDataFrame(rows, "tab string, text string"), "text", "tab")
+    assert set(limits) <= set(found["big"]) and len(found["big"]) <= 13
+
+
+def test_long_words_and_marks_at_the_end_are_seen_whole():
+    assert truncation.last_word("a " + "b" * 400) == "b" * 400
+    assert truncation.tidy("a lamp th" + "." * 900) == ("a lamp th", "dots")
+    assert truncation.tidy("a lamp th" + " [...]" * 300) == ("a lamp th", "other")
+
+
 def test_tidy_takes_marks_off():
     assert truncation.tidy("a row of th [cut]") == ("a row of th", "other")
     assert truncation.tidy("a lamp...") == ("a lamp", "dots")
