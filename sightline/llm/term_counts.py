@@ -2,7 +2,8 @@
 
 Tokens are hash-partitioned by term and ordered by record; while the records of a term pass, a counter of records rises
 whenever the record differs from the last one seen. No set of records is ever kept. A term is spread over ``salts``
-partitions by its record, so a term that holds a third of all tokens is counted by many tasks, each record by one.
+partitions by its record, as many as the session shuffles into, so a term that holds a third of all tokens is counted by
+all tasks, each record by one.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sightline.session import written
+
 
 def normal_term(value: str | None) -> str | None:
     """NFKC without invisible format characters, white space runs as one blank, trimmed, lower-cased; null if empty."""
@@ -39,14 +42,16 @@ def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from counted.combine_chunks().to_batches()
 
 
-def count_terms(tokens: DataFrame, salts: int = 16) -> DataFrame:
+def count_terms(tokens: DataFrame, salts: int | None = None) -> DataFrame:
     """Counts of ``tokens`` (field, value, record): one row per field and term.
 
     Result: field, term, occurrences, records, field_records (distinct records with any term in the field). Null and
-    empty terms are left out; a null record counts as an occurrence but as no record.
+    empty terms are left out; a null record counts as an occurrence but as no record. The normalised tokens, counted within
+    each batch, are stored once by a job that runs when this is called.
     """
+    salts = salts or int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = "field string, term string, record string, n bigint"
-    counted = tokens.select("field", "value", F.col("record").cast("string").alias("record")).mapInArrow(_combined, schema)
+    counted = written(tokens.select("field", "value", F.col("record").cast("string").alias("record")).mapInArrow(_combined, schema), "tokens")
     salted = counted.withColumn("_salt", F.pmod(F.xxhash64("record"), F.lit(salts)).cast("int"))
     passing = Window.partitionBy("field", "term", "_salt").orderBy("record")
     seen = salted.withColumn("_last", F.lag("record").over(passing))
