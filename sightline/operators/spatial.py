@@ -15,6 +15,13 @@ from sightline.functions.geometry import box, center_distance, center_offset, co
 CELL = 256.0
 
 
+def fitting_cell(df: DataFrame, most_cells: int = 64) -> float:
+    """A cell as wide as the boxes of ``df`` are on the average, or so wide that none covers more than ``most_cells`` a side."""
+    side = F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    told = df.filter(side > 0).agg(F.avg(side).alias("mean"), F.max(side).alias("most")).first()
+    return max(told["mean"], told["most"] / most_cells) if told["mean"] else CELL
+
+
 def gridded(df: DataFrame, cell: float = CELL) -> DataFrame:
     """One row for each cell that a row's box covers, in columns _cx, _cy."""
     across = F.sequence(F.floor(F.col("x1") / cell), F.floor(F.greatest("x1", "x2") / cell))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sightline.functions.geometry import box, field_box, iou, size_columns
+from sightline.functions.geometry import box, size_columns
 from sightline.operators import consensus as C
 from sightline.operators import folds, spatial
 from sightline.plans import fixtures as X
@@ -109,8 +109,7 @@ def _ranked_final(spark: SparkSession, d: str) -> DataFrame:
 
 def final_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Each phrase with the winner it repeats: equal text first, else near-identical boxes. No transitive merging."""
-    like = lambda a, b: (a["phrase"] == b["phrase"]) | (iou(field_box(a), field_box(b)) >= 0.75)
-    return folds.greedy(_ranked_final(spark, d), ["image_id"], "quality", like).select("image_id", "det_no", F.col("winner").cast("int").alias("winner"))
+    return folds.greedy(_ranked_final(spark, d), ["image_id"], "quality", 0.75, ("phrase",)).select("image_id", "det_no", F.col("winner").cast("int").alias("winner"))
 
 
 def unique_alignments(spark: SparkSession, d: str) -> DataFrame:
@@ -118,7 +117,7 @@ def unique_alignments(spark: SparkSession, d: str) -> DataFrame:
     det = X.detections(spark, d)
     order = Window.partitionBy("image_id").orderBy(F.coalesce("score", F.lit(0.0)).desc(), "det_no")
     ranked = det.select("image_id", "det_no", "x1", "y1", "x2", "y2", F.row_number().over(order).alias("quality"))
-    linked = folds.greedy(ranked, ["image_id"], "quality", lambda a, b: iou(field_box(a), field_box(b)) >= 0.5)
+    linked = folds.greedy(ranked, ["image_id"], "quality", 0.5)
     return linked.select("image_id", "det_no", F.col("winner").isNull().alias("accepted"), F.col("winner").cast("int").alias("duplicate_of"))
 
 

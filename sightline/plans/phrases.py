@@ -103,12 +103,27 @@ def json_answers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def text_box_parse(spark: SparkSession, d: str) -> DataFrame:
-    """Boxes read from free answers: one valid box, two different ones (null), or one behind a thought."""
-    det = X.detections(spark, d)
-    shown = lambda k: F.concat(F.lit("["), F.concat_ws(", ", *[(F.col(c) + k).cast("string") for c in ("x1", "y1", "x2", "y2")]), F.lit("]"))
-    text = F.when(F.col("det_no") % 3 == 0, F.concat(F.lit("I see "), shown(0), F.lit(" and "), shown(5))).when(F.col("det_no") % 3 == 1, F.concat(F.lit("<think>maybe "), shown(7), F.lit("</think>{\"box\": "), shown(0), F.lit("}"))).otherwise(shown(0))
-    b = T.parsed_box(text)
-    return det.select("image_id", "det_no", b.alias("b")).select("image_id", "det_no", *[F.get("b", k).alias(f"b{k}") for k in range(4)])
+    """Boxes read from free answers in ten forms, in pixels: agreeing, differing, faulty, nested, behind and in thoughts."""
+    det = X.detections(spark, d).join(X.sizes(spark, d), "image_id")
+    shown = lambda k, more="": F.concat(F.lit("["), F.concat_ws(", ", *[(F.col(c) + k).cast("string") for c in ("x1", "y1", "x2", "y2")]), F.lit(more + "]"))
+    said = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    forms = [
+        said("I see ", shown(0), " and ", shown(5)),
+        said("<think>maybe ", shown(7), '</think>{"box": ', shown(0), "}"),
+        shown(0),
+        said("<think>", shown(0)),
+        said(shown(0), " or [-1, 2, 3, 4]"),
+        said('{"bbox_2d": ', shown(0, ", 5"), ', "x": ', shown(0), "}"),
+        said(shown(0), ", that is ", shown(0), " {not json"),
+        F.lit("no box"),
+        F.lit("[1, 2, NaN, 4]"),
+        said('{"answer": {"items": [true, {"box": "none", "bbox_2d": ', shown(0), "}]}}"),
+    ]
+    text = F.lit(None).cast("string")
+    for k, form in enumerate(forms):
+        text = F.when(F.col("det_no") % 10 == k, form).otherwise(text)
+    b = T.parsed_box(text, F.col("width"), F.col("height"))
+    return det.select("image_id", "det_no", b.alias("b")).select("image_id", "det_no", *[F.round(F.get("b", k), 6).alias(f"b{k}") for k in range(4)])
 
 
 def _size_model(batch):
@@ -186,8 +201,8 @@ SELECT *, CASE WHEN open > 0 THEN 'budget_exhausted' ELSE 'no_pending_evidence'
     "safe_ids": """SELECT DISTINCT category, coalesce(nullif(regexp_replace(regexp_replace(category, '[^A-Za-z0-9_-]+', '_', 'g'), '^_+|_+$', '', 'g'), ''), 'entity') AS safe,
   substr(sha1(category), 1, 12) AS suffix FROM entities WHERE category IS NOT NULL""",
     "json_answers": """SELECT DISTINCT image_id, entity_id, CASE WHEN rank % 3 <> 2 THEN rank END AS read_rank, CASE WHEN rank % 3 <> 2 THEN nullif(action, '') END AS read_action FROM entities""",
-    "text_box_parse": X.with_views("det") + """ SELECT image_id, det_no, CASE WHEN det_no % 3 <> 0 THEN x1 END AS b0, CASE WHEN det_no % 3 <> 0 THEN y1 END AS b1,
-  CASE WHEN det_no % 3 <> 0 THEN x2 END AS b2, CASE WHEN det_no % 3 <> 0 THEN y2 END AS b3 FROM det""",
+    "text_box_parse": X.with_views("det", "size") + """ SELECT d.image_id, det_no, CASE WHEN ok THEN round(x1 * width / 1000, 6) END AS b0, CASE WHEN ok THEN round(y1 * height / 1000, 6) END AS b1,
+  CASE WHEN ok THEN round(x2 * width / 1000, 6) END AS b2, CASE WHEN ok THEN round(y2 * height / 1000, 6) END AS b3 FROM (SELECT *, det_no % 10 IN (1, 2, 6, 9) AS ok FROM det) d JOIN size s ON s.image_id = d.image_id""",
     "model_calls": """SELECT DISTINCT image_id, entity_id, category, CASE WHEN length(category) % 5 <> 0 THEN CAST(length(category) AS INT) END AS letters,
   length(category) % 5 <> 0 AND length(category) % 2 = 0 AS even, CASE length(category) % 5 WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END AS attempts,
   CASE WHEN length(category) % 5 = 0 THEN 'too long' END AS error FROM entities WHERE category IS NOT NULL""",

@@ -33,18 +33,26 @@ def session(app: str = "sightline", cpus: int | None = None, **conf: str) -> Spa
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can read, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) a temporary folder is made and set.
+    Only on one machine (a local master), where that setting is absent, a temporary folder is made and set; a cluster
+    without the setting is an error, as its executors could not read each other's disks.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = "file://" + tempfile.mkdtemp(prefix="sightline-")
         spark.sparkContext.setCheckpointDir(current)
     return current.rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and tasks share one machine and process: 'local', 'local[n]', but not 'local-cluster[...]'."""
+    return master == "local" or master.startswith("local[")
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
@@ -66,5 +74,12 @@ def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Removes what ``written`` stored, once nothing reads it any more."""
+    _remove(stored.sparkSession, stored.stored_at)
 

@@ -65,12 +65,25 @@ def test_regions(spark):
 # --- text
 
 
-@pytest.mark.parametrize(
-    "answer,want",
-    [("<think>[1,1,2,2]</think> box: [20, 20, 60, 40]", [20, 20, 60, 40]), ('{"bbox": [1, 2, 3, 4]} [1,2,3,4]', [1, 2, 3, 4]), ("[1,2,3,4] or [2,3,4,5]", None), ("[5,5,1,1]", None), ("[1,2,3", None), ("", None), (None, None), ("[true,0,1,2]", None)],
-)
-def test_box_in_text(answer, want):
-    assert T.box_in_text(answer) == want
+BOX_ANSWERS = [
+    ('<think>[0,0,10,10]</think>{"bbox_2d":[100,200,300,400]}', [20.0, 20.0, 60.0, 40.0]),
+    *[(x, None) for x in ("no box", "[1,2,3,4] [20,30,40,50]", "[-1,2,3,4]", "[1,2,NaN,4]", "<think>[1,2,3,4]", "[5,5,1,1]", "[1,2,3", "", None, "[true,0,1,2]", "[]", "{}", "[[]]")],
+    ("<think>a</think><think>[1,2,3,4]", None),
+    ("[1,2,3,4] and [2000,2,3,4]", None),
+    ('{"bbox_2d":[100,200,300,400,5],"x":[100,200,300,400]}', None),
+    ('{"bbox_2d":"none"} [100,200,300,400]', None),
+    ('{"box":[1,2,3,4],"bbox_2d":[100,200,300,400]}', [20.0, 20.0, 60.0, 40.0]),
+    ('[{"a":{"b":[[100,200,300,400]]}}] {broken [100,200,300,400]', [20.0, 20.0, 60.0, 40.0]),
+    ("[100,200,300,400] [100.0,200,3e2,400]", [20.0, 20.0, 60.0, 40.0]),
+    ("[" * 300 + "100,200,300,400" + "]" * 300, [20.0, 20.0, 60.0, 40.0]),
+    ("[1" + "0" * 400 + ",2,3,4]", None),
+]
+
+
+def test_boxes_in_answers(spark):
+    df = spark.createDataFrame([(k, a) for k, (a, _) in enumerate(BOX_ANSWERS)], "k int, a string").repartition(2)
+    got = {r["k"]: r["b"] for r in df.select("k", T.parsed_box(F.col("a"), F.lit(200), F.lit(100)).alias("b")).collect()}
+    assert [got[k] for k in range(len(BOX_ANSWERS))] == [w for _, w in BOX_ANSWERS]
 
 
 def test_text_forms(spark):
@@ -98,14 +111,42 @@ def _greedy(rows, t):
     return winner
 
 
-def test_folds_and_rounds_equal_plain_greedy(spark):
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_folds_and_rounds_equal_plain_greedy(spark, limit):
     rows = _random_boxes(160, 3, 2)
+    df = _boxes(spark, [(k if k else None, *r) for k, *r in rows])
+    got = {r["i"]: r["winner"] for r in folds.greedy(df, ["k"], "i", 0.3, fold_rows=limit).collect()}
+    assert got == _greedy(rows, 0.3)
+
+
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_equal_values_are_alike_too(spark, limit):
+    rng = random.Random(8)
+    rows = [(*r, rng.choice(["a", "b", None, f"w{r[1]}"])) for r in _random_boxes(120, 2, 4)]
+    df = spark.createDataFrame(rows, "k int, i int, x1 double, y1 double, x2 double, y2 double, word string")
+    kept, want = {}, {}
+    for r in sorted(rows, key=lambda r: r[1]):
+        hit = next((o for o in kept.setdefault(r[0], []) if _iou(o, r) >= 0.3 or (o[6] is not None and o[6] == r[6])), None)
+        want[r[1]] = hit[1] if hit else None
+        if hit is None:
+            kept[r[0]].append(r)
+    assert {r["i"]: r["winner"] for r in folds.greedy(df, ["k"], "i", 0.3, ("word",), fold_rows=limit).collect()} == want
+
+
+def test_a_very_large_group_is_thinned_through_the_grid(spark):
+    rng = random.Random(11)
+    spots = [(rng.uniform(0, 9000), rng.uniform(0, 9000)) for _ in range(10_000)]
+    rows = [(1, 5 * k + j, x + j, y, x + j + 40, y + 40) for k, (x, y) in enumerate(spots) for j in range(5)]
     df = _boxes(spark, rows)
-    like = lambda a, b: G.iou(G.field_box(a), G.field_box(b)) >= 0.3
-    want = _greedy(rows, 0.3)
-    for limit in (1000, 0):
-        got = {r["i"]: r["winner"] for r in folds.greedy(df, ["k"], "i", like, fold_rows=limit).collect()}
-        assert got == want, limit
+    kept = folds.suppress(df, ["k"], "i", 0.8)
+    cells, want = {}, set()
+    for r in rows:
+        cell = (int(r[2] // 50), int(r[3] // 50))
+        near = [o for dx in (-1, 0, 1) for dy in (-1, 0, 1) for o in cells.get((cell[0] + dx, cell[1] + dy), ())]
+        if not any(_iou(o, r) >= 0.8 for o in near):
+            cells.setdefault(cell, []).append(r)
+            want.add(r[1])
+    assert {r["i"] for r in kept.select("i").collect()} == want
 
 
 def test_suppression_is_idempotent_and_not_transitive(spark):
