@@ -92,13 +92,18 @@ class Passage:
 def passages_of(rows: list[tuple[str, str]]) -> list[Passage]:
     """The distinct passages of (item, passage) rows. Passages without words are left out."""
     found: dict[tuple[int, ...], Passage] = {}
-    for item, text in sorted(rows, key=lambda r: (r[0] or "", r[1] or "")):
-        words = tokens(text)
-        if not words:
+    rows = sorted(rows, key=lambda r: (r[0] or "", r[1] or ""))
+    lists = token_lists(pa.array([text for _, text in rows], pa.string()))
+    flat = lists.flatten()
+    hashes, words = term_hashes(flat), flat.to_pylist()
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).tolist()
+    for (item, _), start, end in zip(rows, [0, *ends], ends):
+        own = words[start:end]
+        if not any(own):
             continue
-        key = tuple(term_hashes(pa.array(words, pa.string())).tolist())
-        han = sum(len(w) == 1 and "㐀" <= w <= "鿿" for w in words)
-        p = found.setdefault(key, Passage([], list(key), LETTERS if 2 * han > len(words) else WORDS))
+        key = tuple(hashes[start:end].tolist())
+        han = sum(len(w) == 1 and "㐀" <= w <= "鿿" for w in own)
+        p = found.setdefault(key, Passage([], list(key), LETTERS if 2 * han > len(own) else WORDS))
         p.items.append(item)
     for p in found.values():
         for q in range(len(p.terms) - 1, -1, -1):
@@ -255,13 +260,16 @@ def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     blocks = -(-chars // BLOCK_CHARS)
     block = lambda b: passages_of([tuple(r) for r in told.filter(F.pmod(F.xxhash64("passage"), F.lit(blocks)) == b).collect()])
     wanted = np.zeros(1 << FIELD_BITS, bool)
-    for b in range(blocks):
-        wanted[field_places(np.array([t for p in block(b) for t in p.at], np.int64))] = True
+    passages: list[Passage] = []
+    for b in range(blocks):  # one block is held at a time
+        passages = block(b)
+        wanted[field_places(np.array([t for p in passages for t in p.at], np.int64))] = True
     found = spark.createDataFrame([], "doc_id bigint, item_id string, longest_run int, ordered_share double")
     if wanted.any():
         index = build_index(documents, wanted)
         for b in range(blocks):
-            if passages := block(b):
+            passages = passages if blocks == 1 else block(b)
+            if passages:
                 found = found.unionByName(find_block(index, passages))
     return found.groupBy("doc_id", "item_id").agg(F.max("longest_run").alias("longest_run"), F.max("ordered_share").alias("ordered_share"))
 
