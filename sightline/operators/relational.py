@@ -6,10 +6,12 @@ one. Nulls among the keys form groups of their own, as in SQL's GROUP BY.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sightline.session import written
+from sightline.session import discard, written
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[Column], name: str = "place") -> DataFrame:
@@ -138,3 +140,96 @@ def answer_faults(expected: DataFrame, returned: DataFrame, keys: list[str], id:
 def conflict_ids(comparisons: DataFrame, declared: DataFrame, keys: list[str], id: str) -> DataFrame:
     """keys and id of every compared object that also matches, and of every competitor that was declared, once each."""
     return comparisons.filter("also_matches").select(*keys, id).union(declared.select(*keys, id)).distinct()
+
+
+def coverage(records: DataFrame, keys: list[str]) -> DataFrame:
+    """What answers cover: total, valid, invalid, empty, proposals, rechecked, recovered, empty_share, distribution, warning.
+
+    ``records`` has invalid (null: no), found (null: none) and rechecked. Invalid answers count as nothing else. The share
+    is null without valid answers; the distribution is text, 'found:answers' in rising order; the warning is set if all
+    valid answers are empty, or half of ten or more.
+    """
+    rows = records.select(*keys, F.coalesce("invalid", F.lit(False)).alias("_bad"), F.coalesce("found", F.lit(0)).cast("bigint").alias("_f"), F.coalesce("rechecked", F.lit(False)).alias("_again"))
+    counted = rows.groupBy(*keys, "_bad", "_f").agg(F.count("*").alias("_n"), F.count_if("_again").alias("_a"))  # then one row for each number found
+    good, some = ~F.col("_bad"), ~F.col("_bad") & (F.col("_f") > 0)
+    total = lambda test, of="_n": F.coalesce(F.sum(F.when(test, F.col(of))), F.lit(0))
+    listed = F.sort_array(F.collect_list(F.when(good, F.struct("_f", "_n"))))
+    g = counted.groupBy(*keys).agg(
+        F.sum("_n").alias("total"), total(good).alias("valid"), total(F.col("_bad")).alias("invalid"), total(good & (F.col("_f") == 0)).alias("empty"),
+        F.coalesce(F.sum(F.when(good, F.col("_f") * F.col("_n"))), F.lit(0)).alias("proposals"), total(good, "_a").alias("rechecked"), total(some, "_a").alias("recovered"),
+        F.array_join(F.transform(listed, lambda x: F.concat_ws(":", x["_f"].cast("string"), x["_n"].cast("string"))), ",").alias("distribution"),
+    )
+    share = F.when(F.col("valid") > 0, F.col("empty") / F.col("valid"))
+    alarm = (F.col("valid") > 0) & ((F.col("empty") == F.col("valid")) | ((F.col("valid") >= 10) & (F.col("empty") * 2 >= F.col("valid"))))
+    return g.withColumn("empty_share", share).withColumn("warning", alarm)
+
+
+def column_faults(whole: DataFrame, parts: list[DataFrame], keys: list[str], columns: list[str]) -> DataFrame:
+    """Rows of the parts that differ from their row of ``whole``: keys, differing (the columns' names). Nulls are equal."""
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    j = whole.alias("w").join(rows.alias("p"), [F.col(f"w.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys])
+    names = F.concat_ws(",", *[F.when(~F.col(f"w.{c}").eqNullSafe(F.col(f"p.{c}")), c) for c in columns])
+    return j.select(*[F.col(f"w.{k}").alias(k) for k in keys], names.alias("differing")).filter("differing <> ''")
+
+
+def group_versions(rows: DataFrame, keys: list[str], id: str, version: str) -> DataFrame:
+    """``rows`` with ``_version``: a hash that changes with the row's own version or with any id or version of its group.
+
+    The group's part is a sum over hashes, added up in the tasks, so no list of a group is made.
+    """
+    one = F.xxhash64(id, version).cast("decimal(38,0)")
+    group = rows.groupBy(*keys).agg(F.sum(one).alias("_sum"), F.count("*").alias("_size"))
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys]
+    return rows.alias("r").join(group.alias("g"), same).select("r.*", signature_of("r." + id, "r." + version, "g._sum", "g._size").alias("_version"))
+
+
+def stale(current: DataFrame, before: DataFrame, keys: list[str], id: str, version: str) -> DataFrame:
+    """Rows of ``current`` that must be computed anew: new ones, and those whose own version or group has changed."""
+    old = group_versions(before, keys, id, version).select(*keys, id, "_version")
+    new = group_versions(current, keys, id, version)
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in [*keys, id, "_version"]]
+    return new.alias("n").join(old.alias("o"), same, "left_anti").drop("_version")
+
+
+def reconciled(requests: DataFrame, prior: DataFrame, progress: DataFrame, rows: DataFrame, identity: list[str], context: str) -> DataFrame:
+    """The rows of an earlier run that answer ``requests``, under the new request_id; nothing for those to be asked again.
+
+    A request of ``prior`` is reusable if its marker in ``progress`` (request_id, detections, context) was made in
+    ``context`` and counts as many detections as ``rows`` has indices for it, and if none of its ``identity`` is null. It
+    answers the requests of equal identity; if several do, the one with the greatest request_id. Zero detections, marked so,
+    are an answer too: such a request gives one row with null detection_index.
+    """
+    held = rows.groupBy("request_id").agg(F.count_distinct("detection_index").alias("_held"))
+    marked = progress.filter(F.col("context") == context).select("request_id", "detections").distinct()
+    whole = marked.join(held, "request_id", "left").filter(F.col("detections") == F.coalesce("_held", F.lit(0))).select("request_id")
+    usable = prior.join(whole, "request_id", "left_semi").dropna(subset=identity)
+    best = usable.groupBy(*identity).agg(F.max("request_id").alias("_old"))
+    bound = requests.select("request_id", *identity).join(best, identity)
+    last = [c for c in rows.columns if c != "request_id"]
+    return bound.select("request_id", "_old").join(rows.select(F.col("request_id").alias("_old"), *last), "_old", "left").select("request_id", *last)
+
+
+def drained(state: DataFrame, pending: Column, step: Callable[[DataFrame], DataFrame], max_rounds: int) -> DataFrame:
+    """``state`` after ``step`` was applied to its ``pending`` rows again and again: at most ``max_rounds`` + 1 times.
+
+    Each round is stored in the shared folder and takes only what is still pending; rows that are done are set aside once.
+    """
+    open_rows = written(state.filter(pending), "pending")
+    done = [state.filter(~F.coalesce(pending, F.lit(False)))]
+    for _ in range(max_rounds + 1):
+        if not open_rows.limit(1).count():
+            return _united(done)
+        moved = written(step(open_rows), "round")
+        discard(open_rows)
+        done.append(moved.filter(~F.coalesce(pending, F.lit(False))))
+        open_rows = written(moved.filter(pending), "pending")
+    return _united([*done, open_rows])
+
+
+def _united(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -56,15 +56,6 @@ def consensus_rejections(spark: SparkSession, d: str) -> DataFrame:
 
 
 def reground_audit(spark: SparkSession, d: str) -> DataFrame:
-    """Each image's first detection as the target, the instances of its category as what a phrase led to."""
-    det = X.detections(spark, d)
-    targets = det.filter("det_no = 1").select(*KEYS, "x1", "y1", "x2", "y2")
-    found = C.instances(det, X.sizes(spark, d), KEYS, "det_no", sized=False).select(*KEYS, "x1", "y1", "x2", "y2", "support", "median_iou")
-    a = C.regrounding_audit(targets, found, KEYS)
-    return a.select(*KEYS, F.col("cluster_count").cast("bigint").alias("cluster_count"), F.col("target_count").cast("bigint").alias("target_count"), F.col("support").cast("bigint").alias("support"), F.round("reground_iou", 9).alias("reground_iou"), "reason", "passed")
-
-
-def reground_audit_all(spark: SparkSession, d: str) -> DataFrame:
     """Every detection as a target of its own, the instances of its category as what a phrase led to."""
     det = X.detections(spark, d)
     targets = det.select(*KEYS, F.col("det_no").alias("target_no"), "x1", "y1", "x2", "y2")
@@ -74,15 +65,6 @@ def reground_audit_all(spark: SparkSession, d: str) -> DataFrame:
 
 
 def repair_top2(spark: SparkSession, d: str) -> DataFrame:
-    """For each image and category the smaller boxes that could stand in for its largest detection."""
-    det = X.detections(spark, d)
-    large = Window.partitionBy(*KEYS).orderBy(((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))).desc(), "det_no")
-    top = det.withColumn("_n", F.row_number().over(large)).filter("_n = 1").select(*KEYS, "x1", "y1", "x2", "y2").join(X.sizes(spark, d), "image_id")
-    r = C.repair_options(det, top, KEYS, "det_no")
-    return r.select(*KEYS, "det_no", F.col("support").cast("bigint").alias("support"), F.col("place").cast("int").alias("place"))
-
-
-def repair_top2_all(spark: SparkSession, d: str) -> DataFrame:
     """For every detection the smaller boxes of its image and category that could stand in for it."""
     det = X.detections(spark, d)
     candidates = det.select(*KEYS, F.col("det_no").alias("target_no"), "x1", "y1", "x2", "y2").join(X.sizes(spark, d), "image_id")
@@ -157,7 +139,7 @@ def competitors(spark: SparkSession, d: str) -> DataFrame:
     return c.select("image_id", "det_no", "other", "priority", F.col("place").cast("int").alias("place"))
 
 
-QUERIES = [nms_within_detector, pair_match, components, cluster_stats, representative_box, consensus_instances, consensus_rejections, reground_audit, reground_audit_all, repair_top2, repair_top2_all, size_assess, duplicate_suspects, final_dedup, unique_alignments, peer_candidates, promotion_topk, hint_admission, unmatched_boxes, competitors]
+QUERIES = [nms_within_detector, pair_match, components, cluster_stats, representative_box, consensus_instances, consensus_rejections, reground_audit, repair_top2, size_assess, duplicate_suspects, final_dedup, unique_alignments, peer_candidates, promotion_topk, hint_admission, unmatched_boxes, competitors]
 
 
 def _fold_sql(view: str, keys: str, rank: str, like: str) -> str:
@@ -242,25 +224,7 @@ SELECT image_id, category, cluster, x1, y1, x2, y2, grounder AS representative,
     "consensus_rejections": _INSTANCES + """, counted AS (SELECT image_id, category, grounder, count(*) AS n FROM det GROUP BY ALL)
 SELECT image_id, category, string_agg(grounder || '=' || n, ',' ORDER BY grounder) AS detector_counts, 'no_multi_grounder_entity_instance' AS reject_reason
 FROM counted c WHERE NOT EXISTS (SELECT 1 FROM instances i WHERE i.image_id = c.image_id AND i.category = c.category) GROUP BY image_id, category""",
-    "reground_audit": _INSTANCES + f""", judged AS (SELECT t.image_id, t.category, f.support, {X.iou('f', 't')} AS o, f.median_iou AS m, f.support IS NOT NULL AS there,
-    f.support IS NOT NULL AND {X.iou('f', 't')} >= 0.5 AND {X.size_ratio('f', 't')} <= 1.25 AS hit
-    FROM det t LEFT JOIN instances f ON f.image_id = t.image_id AND f.category = t.category WHERE t.det_no = 1),
-  best AS (SELECT *, row_number() OVER (PARTITION BY image_id, category ORDER BY hit DESC, support DESC NULLS LAST, o DESC, m DESC) AS n FROM judged),
-  summed AS (SELECT image_id, category, count(*) FILTER (WHERE there) AS cluster_count, count(*) FILTER (WHERE hit) AS target_count, max(support) AS any_support FROM judged GROUP BY ALL)
-SELECT s.image_id, s.category, cluster_count, target_count, CASE WHEN b.hit THEN b.support ELSE coalesce(any_support, 0) END AS support,
-  round(CASE WHEN b.hit THEN b.o ELSE 0.0 END, 9) AS reground_iou,
-  CASE WHEN cluster_count = 0 THEN 'no_multi_grounder_expression_result' WHEN target_count = 0 THEN 'expression_did_not_recover_target'
-       WHEN cluster_count > 1 THEN 'expression_has_multiple_consensus_targets' END AS reason, cluster_count = 1 AND target_count = 1 AS passed
-FROM summed s JOIN best b ON b.image_id = s.image_id AND b.category = s.category AND b.n = 1""",
-    "repair_top2": X.with_views("det", "size") + f""", top AS (SELECT d.*, width, height, row_number() OVER (PARTITION BY d.image_id, category ORDER BY (x2 - x1) * (y2 - y1) DESC, det_no) AS n
-    FROM det d JOIN size s ON s.image_id = d.image_id QUALIFY n = 1),
-  small AS (SELECT a.image_id, a.category, a.det_no, a.x1, a.y1, a.x2, a.y2, row_number() OVER (PARTITION BY a.image_id, a.category, a.x1, a.y1, a.x2, a.y2 ORDER BY a.det_no) AS nth
-    FROM det a JOIN top c ON a.image_id = c.image_id AND a.category = c.category WHERE {X.area('a')} < {X.area('c')} AND {X.containment('a', 'c')} >= 0.98
-    AND {X.area('a')} / CAST(width * height AS DOUBLE) >= 0.00001 AND {X.area('a')} / CAST(width * height AS DOUBLE) <= 0.1 QUALIFY nth = 1),
-  backed AS (SELECT f.image_id, f.category, f.det_no, f.x1, f.y1, f.x2, f.y2, count(DISTINCT s.grounder) AS support FROM small f JOIN det s
-    ON f.image_id = s.image_id AND f.category = s.category AND {X.iou('f', 's')} >= 0.5 GROUP BY ALL HAVING count(DISTINCT s.grounder) >= 2)
-SELECT image_id, category, det_no, support, CAST(row_number() OVER (PARTITION BY image_id, category ORDER BY support DESC, {X.area('b')}, det_no) AS INT) AS place FROM backed b QUALIFY place <= 2""",
-    "reground_audit_all": _INSTANCES + f""", judged AS (SELECT t.image_id, t.category, t.det_no AS target_no, f.support, {X.iou('f', 't')} AS o, f.median_iou AS m, f.support IS NOT NULL AS there,
+    "reground_audit": _INSTANCES + f""", judged AS (SELECT t.image_id, t.category, t.det_no AS target_no, f.support, {X.iou('f', 't')} AS o, f.median_iou AS m, f.support IS NOT NULL AS there,
     f.support IS NOT NULL AND {X.iou('f', 't')} >= 0.5 AND {X.size_ratio('f', 't')} <= 1.25 AS hit
     FROM det t LEFT JOIN instances f ON f.image_id = t.image_id AND f.category = t.category),
   best AS (SELECT *, row_number() OVER (PARTITION BY image_id, category, target_no ORDER BY hit DESC, support DESC NULLS LAST, o DESC, m DESC) AS n FROM judged),
@@ -270,7 +234,7 @@ SELECT s.image_id, s.category, s.target_no, cluster_count, target_count, CASE WH
   CASE WHEN cluster_count = 0 THEN 'no_multi_grounder_expression_result' WHEN target_count = 0 THEN 'expression_did_not_recover_target'
        WHEN cluster_count > 1 THEN 'expression_has_multiple_consensus_targets' END AS reason, cluster_count = 1 AND target_count = 1 AS passed
 FROM summed s JOIN best b ON b.image_id = s.image_id AND b.category = s.category AND b.target_no = s.target_no AND b.n = 1""",
-    "repair_top2_all": X.with_views("det", "size") + f""", small AS (SELECT a.image_id, a.category, c.det_no AS target_no, a.det_no, a.x1, a.y1, a.x2, a.y2,
+    "repair_top2": X.with_views("det", "size") + f""", small AS (SELECT a.image_id, a.category, c.det_no AS target_no, a.det_no, a.x1, a.y1, a.x2, a.y2,
     row_number() OVER (PARTITION BY a.image_id, a.category, c.det_no, a.x1, a.y1, a.x2, a.y2 ORDER BY a.det_no) AS nth
     FROM det a JOIN det c ON a.image_id = c.image_id AND a.category = c.category JOIN size s ON s.image_id = a.image_id
     WHERE {X.area('a')} < {X.area('c')} AND {X.containment('a', 'c')} >= 0.98

@@ -1,4 +1,4 @@
-"""Views that give the base tables the shapes of detections, images, proposals, phrases, logs, hints and comparisons.
+"""Views that give the base tables the shapes of detections, image sizes, phrases, logs, hints and comparisons.
 
 Each view exists twice: as a DataFrame and as the text of a common table expression, from which the SQL of the
 registered queries is put together.
@@ -34,31 +34,11 @@ def detections(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def images(spark: SparkSession, d: str) -> DataFrame:
-    orders = table(spark, d, "orders", "o_orderkey", "o_orderpriority")
-    texts = table(spark, d, "documents", "doc_id", "text").select("doc_id", F.substring("text", 1, 200).alias("caption"))
-    key = F.col("o_orderkey")
-    return orders.join(texts, F.col("doc_id") == key % 200).select(
-        key.alias("image_id"), (400 + key % 4 * 100).cast("int").alias("width"), (300 + key % 3 * 100).cast("int").alias("height"), F.col("o_orderpriority").alias("source_shard"), "caption"
-    )
-
-
 def sizes(spark: SparkSession, d: str) -> DataFrame:
-    """The images' sizes without their captions."""
     key = F.col("o_orderkey")
     return table(spark, d, "orders", "o_orderkey").select(key.alias("image_id"), (400 + key % 4 * 100).cast("int").alias("width"), (300 + key % 3 * 100).cast("int").alias("height"))
 
 
-def proposals(spark: SparkSession, d: str) -> DataFrame:
-    det = detections(spark, d).select("image_id", "det_no", "category")
-    no = F.col("det_no")
-    return det.join(images(spark, d).select("image_id", "caption"), "image_id").select(
-        "image_id", no.alias("model_rank"), "category",
-        F.when(no % 3 == 0, "zz-not-present").otherwise(F.col("caption").substr(no, F.lit(12))).alias("caption_span"),
-        (no % 5 != 0).alias("caption_claimed"), "caption",
-    )
-
-
 def expressions(spark: SparkSession, d: str) -> DataFrame:
     no = F.col("det_no")
     text = F.when(no % 4 == 0, F.concat(F.lit("  The "), "category", F.lit(" item "))).otherwise(F.concat(F.lit("the "), "category", F.lit(" item "), (no % 4).cast("string")))
@@ -81,11 +61,12 @@ def hints(spark: SparkSession, d: str) -> DataFrame:
 
 
 def comparisons(spark: SparkSession, d: str) -> DataFrame:
-    det = detections(spark, d).select("image_id", "det_no").filter("det_no <= 6")
-    a, b = det.alias("a"), det.alias("b")
-    n = (F.col("a.det_no") + F.col("b.det_no")) % 5
-    j = a.join(b, [F.col("a.image_id") == F.col("b.image_id"), F.col("a.det_no") != F.col("b.det_no")])
-    return j.select(F.col("a.image_id").alias("image_id"), F.col("a.det_no").alias("object_no"), F.col("b.det_no").alias("peer_no"), F.when(n == 0, True).when(n != 1, False).alias("also_matches"))
+    """Every detection of an image against the four numbered before and the four after it."""
+    det = detections(spark, d).select("image_id", "det_no")
+    peers = F.array(*[F.col("det_no") + k for k in range(-4, 5) if k])
+    asked = det.select("image_id", F.col("det_no").alias("object_no"), F.explode(peers).alias("peer_no"))
+    n = (F.col("object_no") + F.col("peer_no")) % 5
+    return asked.join(det.withColumnRenamed("det_no", "peer_no"), ["image_id", "peer_no"]).select("image_id", "object_no", "peer_no", F.when(n == 0, True).when(n != 1, False).alias("also_matches"))
 
 
 _SQL = {
@@ -98,15 +79,8 @@ _SQL = {
   CAST((l_suppkey * 7) % 40 + 20 + l_quantity AS DOUBLE) AS x2, CAST((l_suppkey * 3) % 40 + 20 + l_quantity AS DOUBLE) AS y2,
   CASE WHEN l_partkey % 3 = 1 THEN CAST(NULL AS DOUBLE) ELSE 1 - l_discount END AS score
 FROM lineitem""",
-    "img": """SELECT o_orderkey AS image_id, CAST(400 + (o_orderkey % 4) * 100 AS INT) AS width,
-  CAST(300 + (o_orderkey % 3) * 100 AS INT) AS height, o_orderpriority AS source_shard, substr(text, 1, 200) AS caption
-FROM orders JOIN documents ON doc_id = o_orderkey % 200""",
     "size": """SELECT o_orderkey AS image_id, CAST(400 + (o_orderkey % 4) * 100 AS INT) AS width,
   CAST(300 + (o_orderkey % 3) * 100 AS INT) AS height FROM orders""",
-    "prop": """SELECT i.image_id, d.det_no AS model_rank, d.category,
-  CASE WHEN d.det_no % 3 = 0 THEN 'zz-not-present' ELSE substr(i.caption, d.det_no, 12) END AS caption_span,
-  d.det_no % 5 <> 0 AS caption_claimed, i.caption
-FROM det d JOIN img i ON i.image_id = d.image_id""",
     "expr": """SELECT image_id, det_no, category AS category_query, x1, y1, x2, y2, CAST(det_no % 3 AS INT) AS revision,
   CASE WHEN det_no % 4 = 0 THEN '  The ' || category || ' item '
        ELSE 'the ' || category || ' item ' || CAST(det_no % 4 AS VARCHAR) END AS expression
@@ -120,10 +94,9 @@ FROM events""",
 FROM log""",
     "comp": """SELECT a.image_id, a.det_no AS object_no, b.det_no AS peer_no,
   CASE (a.det_no + b.det_no) % 5 WHEN 0 THEN TRUE WHEN 1 THEN CAST(NULL AS BOOLEAN) ELSE FALSE END AS also_matches
-FROM det a JOIN det b ON a.image_id = b.image_id AND a.det_no <> b.det_no
-WHERE a.det_no <= 6 AND b.det_no <= 6""",
+FROM det a JOIN det b ON a.image_id = b.image_id AND abs(a.det_no - b.det_no) BETWEEN 1 AND 4""",
 }
-_NEEDS = {"prop": ["det", "img"], "expr": ["det"], "hint": ["log"], "comp": ["det"]}
+_NEEDS = {"expr": ["det"], "hint": ["log"], "comp": ["det"]}
 
 
 def with_views(*names: str, recursive: bool = False) -> str:

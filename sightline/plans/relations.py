@@ -133,9 +133,9 @@ def resume_pending(spark: SparkSession, d: str) -> DataFrame:
 
 
 def selected_semi(spark: SparkSession, d: str) -> DataFrame:
-    """Log rows of chosen images whose answer was valid."""
-    chosen = table(spark, d, "orders", "o_orderkey").filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("image_id"))
-    return X.stage_log(spark, d).join(chosen, "image_id", "left_semi").filter(~F.coalesce("model_output_invalid", F.lit(False))).select("request_id", "image_id", "stage")
+    """Proposals of the images chosen for the run that name a category."""
+    e = table(spark, d, "entities", "image_id", "entity_id", "rank", "category").filter(F.trim(F.coalesce("category", F.lit(""))) != "")
+    return e.join(table(spark, d, "route_b", "image_id"), "image_id", "left_semi").select("image_id", "entity_id", "rank").distinct()
 
 
 def latest_revision(spark: SparkSession, d: str) -> DataFrame:
@@ -144,14 +144,21 @@ def latest_revision(spark: SparkSession, d: str) -> DataFrame:
     return R.latest_per_key(x, ["base_expression_id"], "revision", [F.col("recorded_at"), F.col("ingested_at"), F.col("expression_id")]).select("base_expression_id", "expression_id", "revision")
 
 
+def _captions(spark: SparkSession, d: str) -> DataFrame:
+    """Every image's caption by its first delivery."""
+    m = table(spark, d, "manifest", "image_id", "caption", "batch_no", "recorded_at", "ingested_at").withColumn("key", F.lower(F.trim("image_id")))
+    return R.first_per_key(m, ["key"], [F.col("batch_no"), F.col("recorded_at"), F.col("ingested_at"), F.col("caption")]).select(F.col("key").alias("image_id"), "caption")
+
+
 def proposal_priority(spark: SparkSession, d: str) -> DataFrame:
     """Proposals without repeats, those whose span stands in the caption first, at most five per image, ranked anew."""
-    p = X.proposals(spark, d)
+    e = table(spark, d, "entities", "image_id", "entity_id", "rank", "category", "caption_span", "caption_supported").distinct()
     span = T.supported_span(F.col("caption_span"), F.col("caption"))
-    tidy = p.withColumn("span", F.when(F.col("caption_claimed"), span).otherwise("")).withColumn("supported", F.col("span") != "")
-    once = R.first_per_key(tidy, ["image_id", "category", "span"], [F.col("model_rank")])
-    ranked = R.numbered(once, ["image_id"], [F.desc("supported"), F.col("model_rank")], "rank")
-    return ranked.filter("rank <= 5").select("image_id", F.col("rank").cast("int").alias("rank"), "model_rank", "supported", "span")
+    tidy = e.join(_captions(spark, d), "image_id").withColumn("span", F.when(F.col("caption_supported"), span).otherwise("")).withColumn("supported", F.col("span") != "")
+    order = [F.col("rank"), F.col("entity_id")]
+    once = R.first_per_key(tidy, ["image_id", "category", "span"], order)
+    ranked = R.numbered(once.withColumnRenamed("rank", "model_rank"), ["image_id"], [F.desc("supported"), F.col("model_rank"), F.col("entity_id")], "rank")
+    return ranked.filter("rank <= 5").select("image_id", "entity_id", F.col("rank").cast("int").alias("rank"), "model_rank", "supported", "span")
 
 
 def instance_number(spark: SparkSession, d: str) -> DataFrame:
@@ -187,11 +194,9 @@ def count_histogram(spark: SparkSession, d: str) -> DataFrame:
 
 
 def coverage_report(spark: SparkSession, d: str) -> DataFrame:
-    """Per stage: valid, invalid and empty answers, share of empty ones among the valid, and whether that is alarming."""
-    invalid = F.coalesce("model_output_invalid", F.lit(False))
-    g = X.stage_log(spark, d).groupBy("stage").agg(F.count_if(~invalid).alias("valid"), F.count_if(invalid).alias("invalid"), F.count_if(~invalid & (F.col("detections") == 0)).alias("empty"))
-    share = F.when(F.col("valid") > 0, F.col("empty") / F.col("valid"))
-    return g.select("stage", "valid", "invalid", "empty", F.round(share, 9).alias("empty_share"), F.coalesce(share >= 0.5, F.lit(False)).alias("warning"))
+    """Per stage what its answers cover; answers whose number five divides count as asked a second time."""
+    log = X.stage_log(spark, d).select("stage", F.col("model_output_invalid").alias("invalid"), F.col("detections").alias("found"), (F.col("request_id") % 5 == 0).alias("rechecked"))
+    return R.coverage(log, ["stage"]).withColumn("empty_share", F.round("empty_share", 9))
 
 
 def stage_health(spark: SparkSession, d: str) -> DataFrame:
@@ -238,21 +243,67 @@ def partition_check(spark: SparkSession, d: str) -> DataFrame:
 
 
 def snapshot_changes(spark: SparkSession, d: str) -> DataFrame:
-    """Regions added, removed or rescored between the first and the last recording."""
-    g = table(spark, d, "grounded_entities", "region_id", "recorded_at", "grounder_support", "median_pairwise_iou", "mean_model_score")
+    """Regions added or rescored between what had arrived by the end of April and all there is."""
+    g = table(spark, d, "grounded_entities", "region_id", "recorded_at", "ingested_at", "grounder_support", "median_pairwise_iou", "mean_model_score")
     sign = R.signature_of("grounder_support", "median_pairwise_iou", "mean_model_score")
-    first = R.first_per_key(g, ["region_id"], [F.col("recorded_at"), F.col("mean_model_score"), F.col("median_pairwise_iou")]).withColumn("s", sign)
-    last = R.first_per_key(g, ["region_id"], [F.desc("recorded_at"), F.desc("mean_model_score"), F.desc("median_pairwise_iou")]).withColumn("s", sign)
-    bucket = lambda k: F.conv(F.substring(F.md5("region_id"), 1, 2), 16, 10).cast("int") % 16 != k
-    return R.changes(first.filter(bucket(3)), last.filter(bucket(5)), ["region_id"], "s")
+    last = lambda rows: R.first_per_key(rows, ["region_id"], [F.desc(c) for c in ("recorded_at", "ingested_at", "mean_model_score", "median_pairwise_iou")]).withColumn("s", sign)
+    return R.changes(last(g.filter(F.col("ingested_at") < F.to_timestamp(F.lit("2025-05-01 00:00:00")))), last(g), ["region_id"], "s")
 
 
 def cache_reconcile(spark: SparkSession, d: str) -> DataFrame:
-    """Committed requests whose logged detections agree with the count of the same image's other rows of the stage."""
-    log = X.stage_log(spark, d)
-    marks = log.filter("committed").select("request_id", "image_id", "stage", "detections")
-    held = log.filter(~F.coalesce("model_output_invalid", F.lit(False))).groupBy("image_id", "stage").agg(F.count("*").alias("held"))
-    return marks.join(held, ["image_id", "stage"]).withColumn("reusable", F.col("detections") >= F.col("held")).select("request_id", "held", "reusable")
+    """Requests of a new run that a log of an older one answers: how many of its rows each takes over.
+
+    In the older run some phrases differ, some requests' rows are not all there and some were made in another context.
+    """
+    det = X.detections(spark, d).select("image_id", "det_no", "category", (F.col("image_id") * 100 + F.col("det_no")).alias("request_id"))
+    no = F.col("det_no")
+    phrase = F.concat("category", F.lit(" "), no.cast("string"))
+    sha = F.when(F.col("image_id") % 17 != 0, F.md5(F.col("image_id").cast("string")))
+    requests = det.select("request_id", "image_id", phrase.alias("phrase"), sha.alias("sha"))
+    old = det.select((-F.col("request_id")).alias("request_id"), "det_no", "image_id", F.when(no % 6 == 0, F.lit("other")).otherwise(phrase).alias("phrase"), sha.alias("sha"))
+    progress = old.select("request_id", (1 + no % 3 + (no % 4 == 0).cast("int")).cast("bigint").alias("detections"), F.when(no % 9 == 0, "old").otherwise("now").alias("context"))
+    rows = old.select("request_id", F.explode(F.sequence(F.lit(0), no % 3)).alias("detection_index"))
+    kept = R.reconciled(requests, old.drop("det_no"), progress, rows, ["image_id", "phrase", "sha"], "now")
+    return kept.groupBy("request_id").agg(F.count("*").alias("taken_over"), F.max("detection_index").alias("last_index"))
+
+
+def partition_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Objects whose exported category or number is not that of the whole they are part of."""
+    det = X.detections(spark, d).select("image_id", "det_no", "category", "grounder")
+    part = det.withColumn("category", F.when(F.col("det_no") % 7 == 0, F.lit(None)).otherwise(F.col("category"))).withColumn("grounder", F.when(F.col("det_no") % 5 == 0, "edited").otherwise(F.col("grounder")))
+    return R.column_faults(det, [part.filter("det_no % 2 = 0"), part.filter("det_no % 2 = 1")], ["image_id", "det_no"], ["category", "grounder"])
+
+
+def stale_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Objects to be looked at again: their own number or the set of their category's others in the image has changed."""
+    det = X.detections(spark, d).select("image_id", "category", "det_no", F.col("x1").alias("version"))
+    before = det.filter("det_no % 8 <> 0").withColumn("version", F.when(F.col("det_no") == 3, -1.0).otherwise(F.col("version")))
+    return R.stale(det, before, ["image_id", "category"], "det_no", "version").select("image_id", "category", "det_no")
+
+
+def returned_peers(spark: SparkSession, d: str) -> DataFrame:
+    """Objects whose answer names other peers than were asked for: some left out, some said twice, one foreign."""
+    asked = X.comparisons(spark, d).select("image_id", "object_no", "peer_no")
+    n = F.col("object_no") + F.col("peer_no")
+    said = asked.filter(n % 7 != 0)
+    returned = said.unionByName(said.filter(n % 11 == 0)).unionByName(asked.filter("object_no = 2").select("image_id", "object_no", F.lit(99).alias("peer_no")).distinct())
+    return R.answer_faults(asked, returned, ["image_id", "object_no"], "peer_no")
+
+
+def conflict_union(spark: SparkSession, d: str) -> DataFrame:
+    """Peers that also match or that were declared competitors (here the next in number)."""
+    c = X.comparisons(spark, d)
+    declared = c.filter("peer_no = object_no + 1").select("image_id", "object_no", "peer_no")
+    return R.conflict_ids(c, declared, ["image_id", "object_no"], "peer_no")
+
+
+def drained_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """Drafts tried again until they are good or the rounds are used up: each needs as many as its base's length tells."""
+    x = table(spark, d, "expression_drafts", "base_expression_id").distinct().filter("base_expression_id is not null")
+    state = x.select("base_expression_id", (F.length("base_expression_id") % 5).alias("needed"), F.lit(0).alias("revision"))
+    pending = F.col("revision") < F.col("needed")
+    done = R.drained(state, pending, lambda rows: rows.withColumn("revision", F.col("revision") + 1), max_rounds=2)
+    return done.select("base_expression_id", "revision", (~pending).alias("accepted"))
 
 
 def signature_reuse(spark: SparkSession, d: str) -> DataFrame:
@@ -271,9 +322,11 @@ def lineage_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def unique_and_contiguous(spark: SparkSession, d: str) -> DataFrame:
-    """Images whose proposals have repeated ids (case aside) or gaps in their ranks."""
+    """Images whose proposals have repeated ids (case aside) or gaps in their ranks, after some ids and ranks were spoilt."""
     e = table(spark, d, "entities", "image_id", "entity_id", "rank").distinct()
-    g = e.groupBy("image_id").agg(F.count("*").alias("n"), F.count_distinct(F.lower("entity_id")).alias("ids"), F.count_distinct("rank").alias("ranks"), F.min("rank").alias("low"), F.max("rank").alias("high"))
+    spoilt = e.select("image_id", F.when(F.col("rank") == 4, F.upper("entity_id")).otherwise(F.col("entity_id")).alias("entity_id"), F.when(F.col("rank") == 6, 9).otherwise(F.col("rank")).alias("rank"))
+    twice = e.filter("rank = 4").select("image_id", "entity_id", F.lit(4).alias("rank"))
+    g = spoilt.unionByName(twice).groupBy("image_id").agg(F.count("*").alias("n"), F.count_distinct(F.lower("entity_id")).alias("ids"), F.count_distinct("rank").alias("ranks"), F.min("rank").alias("low"), F.max("rank").alias("high"))
     faults = (F.col("ids") < F.col("n")) | (F.col("ranks") < F.col("n")) | (F.col("low") != 1) | (F.col("high") != F.col("n"))
     return g.filter(faults).select("image_id", "n", "ids", "ranks", "low", "high")
 
@@ -312,7 +365,7 @@ def integrity_report(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-QUERIES = [integrity_report, box_metrics, clipped_boxes, normalized_region, crop_to_original, expand_view, unit_boxes, union_envelope, category_requests, request_members, locator_requests, fanout_entities, category_pool, manifest_join, candidates_left, ocr_completeness, resume_pending, selected_semi, latest_revision, proposal_priority, instance_number, box_n_of_m, stage_phases, peer_pages, counts_with_zeros, count_histogram, coverage_report, stage_health, detector_map, shared_instances, first_spelling, export_bag_diff, partition_check, snapshot_changes, cache_reconcile, signature_reuse, lineage_filter, unique_and_contiguous, acceptance_summary]
+QUERIES = [integrity_report, box_metrics, clipped_boxes, normalized_region, crop_to_original, expand_view, unit_boxes, union_envelope, category_requests, request_members, locator_requests, fanout_entities, category_pool, manifest_join, candidates_left, ocr_completeness, resume_pending, selected_semi, latest_revision, proposal_priority, instance_number, box_n_of_m, stage_phases, peer_pages, counts_with_zeros, count_histogram, coverage_report, stage_health, detector_map, shared_instances, first_spelling, export_bag_diff, partition_check, snapshot_changes, cache_reconcile, partition_columns, stale_versions, returned_peers, conflict_union, drained_rounds, signature_reuse, lineage_filter, unique_and_contiguous, acceptance_summary]
 
 _ZEROS = X.with_views("det", "size") + """, counted AS (SELECT image_id, count(*) AS n FROM det WHERE score > 0.97 GROUP BY 1),
   zeros AS (SELECT s.image_id, coalesce(n, 0) AS n FROM (SELECT DISTINCT image_id FROM size) s LEFT JOIN counted c ON c.image_id = s.image_id)"""
@@ -378,12 +431,16 @@ FROM (SELECT DISTINCT image_id, entity_id FROM entities) e LEFT JOIN grounded_en
     "ocr_completeness": """SELECT DISTINCT image_id, region_id FROM expression_drafts WHERE len(used_visible_text) > 0
 AND image_id NOT IN (SELECT image_id FROM entities WHERE len(visible_text) > 0 AND image_id IS NOT NULL)""",
     "resume_pending": X.with_views("log") + " SELECT request_id, image_id, stage FROM log WHERE request_id NOT IN (SELECT request_id FROM log WHERE committed)",
-    "selected_semi": X.with_views("log") + " SELECT request_id, image_id, stage FROM log WHERE image_id IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0) AND NOT coalesce(model_output_invalid, FALSE)",
+    "selected_semi": "SELECT DISTINCT image_id, entity_id, rank FROM entities WHERE trim(category, ' ') <> '' AND image_id IN (SELECT image_id FROM route_b)",
     "latest_revision": """SELECT base_expression_id, expression_id, revision FROM expression_drafts
 QUALIFY row_number() OVER (PARTITION BY base_expression_id ORDER BY revision DESC NULLS LAST, recorded_at NULLS FIRST, ingested_at NULLS FIRST, expression_id) = 1""",
-    "proposal_priority": X.with_views("prop") + """, t AS (SELECT *, CASE WHEN caption_claimed AND coalesce(contains(caption, caption_span), FALSE) THEN caption_span ELSE '' END AS span FROM prop),
-  once AS (SELECT *, span <> '' AS supported FROM t QUALIFY row_number() OVER (PARTITION BY image_id, category, span ORDER BY model_rank) = 1)
-SELECT image_id, CAST(row_number() OVER (PARTITION BY image_id ORDER BY supported DESC, model_rank) AS INT) AS rank, model_rank, supported, span FROM once QUALIFY rank <= 5""",
+    "proposal_priority": """WITH cap AS (SELECT lower(trim(image_id, ' ')) AS image_id, caption FROM manifest
+    QUALIFY row_number() OVER (PARTITION BY lower(trim(image_id, ' ')) ORDER BY batch_no NULLS FIRST, recorded_at NULLS FIRST, ingested_at NULLS FIRST, caption NULLS FIRST) = 1),
+  t AS (SELECT e.*, CASE WHEN caption_supported AND coalesce(contains(caption, caption_span), FALSE) THEN caption_span ELSE '' END AS span
+    FROM (SELECT DISTINCT image_id, entity_id, rank, category, caption_span, caption_supported FROM entities) e JOIN cap USING (image_id)),
+  once AS (SELECT *, span <> '' AS supported FROM t QUALIFY row_number() OVER (PARTITION BY image_id, category, span ORDER BY rank NULLS FIRST, entity_id NULLS FIRST) = 1)
+SELECT image_id, entity_id, CAST(row_number() OVER (PARTITION BY image_id ORDER BY supported DESC, once.rank NULLS FIRST, entity_id NULLS FIRST) AS INT) AS rank, once.rank AS model_rank, supported, span
+FROM once QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY supported DESC, once.rank NULLS FIRST, entity_id NULLS FIRST) <= 5""",
     "instance_number": X.with_views("det") + """
 SELECT image_id, det_no, category || '_i' || lpad(CAST(row_number() OVER (PARTITION BY image_id, category ORDER BY y1, x1, y2, x2, det_no) AS VARCHAR), 2, '0') AS instance_id FROM det""",
     "box_n_of_m": X.with_views("det") + " SELECT image_id, det_no, row_number() OVER (PARTITION BY image_id ORDER BY det_no) || ' of ' || count(*) OVER (PARTITION BY image_id) AS label FROM det",
@@ -394,9 +451,13 @@ SELECT image_id, CAST(phase AS BIGINT) AS phase, min(stage) AS stage, count(*) A
 SELECT image_id, det_no, CAST(k // 3 AS INT) AS page, CAST(k % 3 + 1 AS INT) AS page_place FROM n""",
     "counts_with_zeros": _ZEROS + " SELECT * FROM zeros",
     "count_histogram": _ZEROS + " SELECT n, count(*) AS groups FROM zeros GROUP BY n",
-    "coverage_report": X.with_views("log") + """, g AS (SELECT stage, count(*) FILTER (WHERE NOT model_output_invalid) AS valid, count(*) FILTER (WHERE model_output_invalid) AS invalid,
-    count(*) FILTER (WHERE NOT model_output_invalid AND detections = 0) AS empty FROM log GROUP BY 1)
-SELECT stage, valid, invalid, empty, round(empty / nullif(valid, 0), 9) AS empty_share, coalesce(empty / nullif(valid, 0) >= 0.5, FALSE) AS warning FROM g""",
+    "coverage_report": X.with_views("log") + """, g AS (SELECT stage, count(*) AS total, count(*) FILTER (WHERE NOT model_output_invalid) AS valid, count(*) FILTER (WHERE model_output_invalid) AS invalid,
+    count(*) FILTER (WHERE NOT model_output_invalid AND detections = 0) AS empty, CAST(coalesce(sum(detections) FILTER (WHERE NOT model_output_invalid), 0) AS BIGINT) AS proposals,
+    count(*) FILTER (WHERE NOT model_output_invalid AND request_id % 5 = 0) AS rechecked, count(*) FILTER (WHERE NOT model_output_invalid AND request_id % 5 = 0 AND detections > 0) AS recovered FROM log GROUP BY 1),
+  n AS (SELECT stage, detections, count(*) AS c FROM log WHERE NOT model_output_invalid GROUP BY 1, 2),
+  l AS (SELECT stage, string_agg(detections || ':' || c, ',' ORDER BY detections) AS distribution FROM n GROUP BY 1)
+SELECT g.*, round(empty / nullif(valid, 0), 9) AS empty_share, coalesce(distribution, '') AS distribution,
+  valid > 0 AND (empty = valid OR (valid >= 10 AND empty * 2 >= valid)) AS warning FROM g LEFT JOIN l USING (stage)""",
     "stage_health": X.with_views("log") + """, g AS (SELECT image_id, stage, count(*) AS answers, count(*) FILTER (WHERE model_output_invalid) AS invalid FROM log GROUP BY 1, 2)
 SELECT *, invalid = answers OR (invalid >= 5 AND invalid * 10 >= answers) AS warning FROM g""",
     "detector_map": X.with_views("det") + """, c AS (SELECT image_id, grounder, count(*) AS n FROM det GROUP BY 1, 2)
@@ -411,23 +472,35 @@ SELECT image_id, det_no, expression, CAST(greatest(n, 0) AS BIGINT) AS surplus_l
     "partition_check": X.with_views("det") + """, t AS (SELECT image_id, det_no, 1 AS w, 0 AS p FROM det UNION ALL SELECT image_id, det_no, 0, 1 FROM det WHERE det_no % 2 = 0 OR det_no % 9 = 0
     UNION ALL SELECT image_id, det_no, 0, 1 FROM det WHERE det_no % 2 = 1 AND det_no % 5 <> 0)
 SELECT image_id, det_no, CAST(sum(w) AS BIGINT) AS in_whole, CAST(sum(p) AS BIGINT) AS in_parts FROM t GROUP BY 1, 2 HAVING sum(w) <> 1 OR sum(p) <> 1""",
-    "snapshot_changes": """WITH f AS (SELECT *, ('0x' || substr(md5(region_id), 1, 2))::INT % 16 AS b FROM grounded_entities
-    QUALIFY row_number() OVER (PARTITION BY region_id ORDER BY recorded_at NULLS FIRST, mean_model_score NULLS FIRST, median_pairwise_iou NULLS FIRST) = 1),
-  l AS (SELECT *, ('0x' || substr(md5(region_id), 1, 2))::INT % 16 AS b FROM grounded_entities
-    QUALIFY row_number() OVER (PARTITION BY region_id ORDER BY recorded_at DESC NULLS LAST, mean_model_score DESC NULLS LAST, median_pairwise_iou DESC NULLS LAST) = 1),
-  j AS (SELECT coalesce(f.region_id, l.region_id) AS region_id, CASE WHEN f.region_id IS NULL THEN 'added' WHEN l.region_id IS NULL THEN 'removed'
-    WHEN f.grounder_support IS DISTINCT FROM l.grounder_support OR f.median_pairwise_iou IS DISTINCT FROM l.median_pairwise_iou OR f.mean_model_score IS DISTINCT FROM l.mean_model_score THEN 'changed' END AS change
-    FROM (SELECT * FROM f WHERE b <> 3) f FULL JOIN (SELECT * FROM l WHERE b <> 5) l ON f.region_id = l.region_id)
+    "snapshot_changes": """WITH o AS (SELECT * FROM grounded_entities WHERE ingested_at < TIMESTAMPTZ '2025-05-01 00:00:00+00'
+    QUALIFY row_number() OVER (PARTITION BY region_id ORDER BY recorded_at DESC NULLS LAST, ingested_at DESC NULLS LAST, mean_model_score DESC NULLS LAST, median_pairwise_iou DESC NULLS LAST) = 1),
+  n AS (SELECT * FROM grounded_entities
+    QUALIFY row_number() OVER (PARTITION BY region_id ORDER BY recorded_at DESC NULLS LAST, ingested_at DESC NULLS LAST, mean_model_score DESC NULLS LAST, median_pairwise_iou DESC NULLS LAST) = 1),
+  j AS (SELECT coalesce(o.region_id, n.region_id) AS region_id, CASE WHEN o.region_id IS NULL THEN 'added' WHEN n.region_id IS NULL THEN 'removed'
+    WHEN o.grounder_support IS DISTINCT FROM n.grounder_support OR o.median_pairwise_iou IS DISTINCT FROM n.median_pairwise_iou OR o.mean_model_score IS DISTINCT FROM n.mean_model_score THEN 'changed' END AS change
+    FROM o FULL JOIN n ON o.region_id = n.region_id)
 SELECT * FROM j WHERE change IS NOT NULL""",
-    "cache_reconcile": X.with_views("log") + """, held AS (SELECT image_id, stage, count(*) AS held FROM log WHERE NOT model_output_invalid GROUP BY 1, 2)
-SELECT request_id, held, detections >= held AS reusable FROM log JOIN held USING (image_id, stage) WHERE committed""",
+    "cache_reconcile": X.with_views("det") + """ SELECT image_id * 100 + det_no AS request_id, CAST(1 + det_no % 3 AS BIGINT) AS taken_over, CAST(det_no % 3 AS INT) AS last_index
+FROM det WHERE image_id % 17 <> 0 AND det_no % 6 <> 0 AND det_no % 4 <> 0 AND det_no % 9 <> 0""",
+    "partition_columns": X.with_views("det") + """ SELECT image_id, det_no, concat_ws(',', CASE WHEN det_no % 7 = 0 THEN 'category' END, CASE WHEN det_no % 5 = 0 THEN 'grounder' END) AS differing
+FROM det WHERE det_no % 7 = 0 OR det_no % 5 = 0""",
+    "stale_versions": X.with_views("det") + """ SELECT a.image_id, a.category, a.det_no FROM det a WHERE EXISTS (SELECT 1 FROM det b WHERE b.image_id = a.image_id AND b.category = a.category AND (b.det_no % 8 = 0 OR b.det_no = 3))""",
+    "returned_peers": X.with_views("comp") + """ SELECT image_id, object_no, count(*) FILTER (WHERE (object_no + peer_no) % 7 = 0) AS missing, CASE WHEN object_no = 2 THEN 1 ELSE 0 END::BIGINT AS foreign,
+  count(*) FILTER (WHERE (object_no + peer_no) % 7 <> 0 AND (object_no + peer_no) % 11 = 0) AS repeated,
+  object_no <> 2 AND count(*) FILTER (WHERE (object_no + peer_no) % 7 = 0 OR (object_no + peer_no) % 11 = 0) = 0 AS complete FROM comp GROUP BY 1, 2""",
+    "conflict_union": X.with_views("comp") + " SELECT DISTINCT image_id, object_no, peer_no FROM comp WHERE also_matches OR peer_no = object_no + 1",
+    "drained_rounds": """SELECT DISTINCT base_expression_id, CAST(least(length(base_expression_id) % 5, 3) AS INT) AS revision, length(base_expression_id) % 5 <= 3 AS accepted
+FROM expression_drafts WHERE base_expression_id IS NOT NULL""",
     "signature_reuse": X.with_views("expr") + f""", i AS (SELECT image_id, det_no, {_SIGN.format('expression', 'revision')} AS s FROM expr),
   k AS (SELECT image_id, det_no, {_SIGN.format('expression', '(CASE WHEN det_no = 2 THEN 9 ELSE revision END)')} AS s FROM expr WHERE det_no % 4 <> 1)
 SELECT image_id, det_no FROM i WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.image_id = i.image_id AND k.det_no = i.det_no AND k.s = i.s)""",
     "lineage_filter": """WITH x AS (SELECT DISTINCT expression_id, base_expression_id, revision, region_id FROM expression_drafts)
 SELECT expression_id, revision FROM x WHERE revision > 0 AND EXISTS (SELECT 1 FROM x r WHERE r.revision = 0 AND r.base_expression_id = x.base_expression_id AND r.region_id = x.region_id)""",
-    "unique_and_contiguous": """WITH g AS (SELECT image_id, count(*) AS n, count(DISTINCT lower(entity_id)) AS ids, count(DISTINCT rank) AS ranks, min(rank) AS low, max(rank) AS high
-  FROM (SELECT DISTINCT image_id, entity_id, rank FROM entities) GROUP BY 1) SELECT * FROM g WHERE ids < n OR ranks < n OR low <> 1 OR high <> n""",
+    "unique_and_contiguous": """WITH e AS (SELECT DISTINCT image_id, entity_id, rank FROM entities),
+  s AS (SELECT image_id, CASE WHEN rank = 4 THEN upper(entity_id) ELSE entity_id END AS entity_id, CASE WHEN rank = 6 THEN 9 ELSE rank END AS rank FROM e
+    UNION ALL SELECT image_id, entity_id, 4 FROM e WHERE rank = 4),
+  g AS (SELECT image_id, count(*) AS n, count(DISTINCT lower(entity_id)) AS ids, count(DISTINCT rank) AS ranks, min(rank) AS low, max(rank) AS high FROM s GROUP BY 1)
+SELECT * FROM g WHERE ids < n OR ranks < n OR low <> 1 OR high <> n""",
     "acceptance_summary": f"""WITH g AS ({_LATEST_REGION}), p AS (SELECT image_id, count(*) AS n, max(bbox_area_ratio) AS largest FROM g GROUP BY 1)
 SELECT CAST(sum(n) AS BIGINT) AS regions, count(*) AS images, max(n) AS most_per_image, max(largest) AS largest_share FROM p""",
 }
