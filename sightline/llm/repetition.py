@@ -1,6 +1,6 @@
 """Repetition inside a text: a learned decision list names texts with too much of it, and an exact count confirms them.
 
-Cheap statistics of every text are Spark expressions: how many of its words, pairs of words and sentences are distinct. A
+Cheap statistics of every text are Spark expressions: how many of its words, pairs of words and clauses are distinct. A
 decision list is learned from labelled statistics of a bounded sample by sequential covering: a rule, a conjunction of
 thresholds, is grown on two thirds of the sample by information gain, pruned on the rest, and what it covers is taken
 out; then the next rule follows. The list becomes one ordered conditional expression over the statistics of all texts.
@@ -22,10 +22,10 @@ from sightline.llm.common import sample_rows
 RUN = 3  # words that must recur together
 LIMIT = 0.3  # share of repeated words from which a text has too much of them
 SAMPLE_TEXTS = 6_000  # texts from which the list is learned; each gives one more with repeats planted
-STATISTICS = ["distinct_words", "distinct_pairs", "distinct_sentences", "n_words"]
+STATISTICS = ["distinct_words", "distinct_pairs", "distinct_clauses", "n_words"]
 
 _TAG, _INVISIBLE = r"<[^<>]*>|&#?[A-Za-z0-9]+;", r"[\p{Cf}\x{34f}\x{fe00}-\x{fe0f}]"
-_SENTENCE_ENDS = r"[.!?…。！？।؟\n]+"
+_CLAUSE_ENDS = r"[\p{Po}\n]+"
 
 
 def words_of(text: Column) -> Column:
@@ -43,18 +43,18 @@ def _share(top: Column, bottom: Column, default: float) -> Column:
 def with_statistics(df: DataFrame, text: str) -> DataFrame:
     """``df`` as ``_row`` with the words of ``text`` and its ``STATISTICS``: what the list decides on.
 
-    distinct_words, distinct_pairs, distinct_sentences: how large a share of the words, of the pairs of neighbouring words
-    and of the sentences is distinct; 1 where there are none.
+    distinct_words, distinct_pairs, distinct_clauses: how large a share of the words, of the pairs of neighbouring words
+    and of the clauses (what stands between punctuation) is distinct; 1 where there are none.
     """
     d = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), words_of(F.col(text)).alias("_words"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_low"))
-    parts = F.filter(F.transform(F.split("_low", _SENTENCE_ENDS), lambda x: F.trim(x)), lambda x: x != "")
+    parts = F.filter(F.transform(F.split("_low", _CLAUSE_ENDS), lambda x: F.trim(x)), lambda x: x != "")
     n = F.size("_words")
     pairs = F.transform(F.slice("_words", 2, F.greatest(n - 1, F.lit(0))), lambda w, i: F.xxhash64(F.get("_words", i), w))
     d = d.select("_row", "_words", n.alias("_n"), pairs.alias("_pairs"), parts.alias("_parts"))
     statistics = {
         "distinct_words": _share(F.size(F.array_distinct("_words")), F.col("_n"), 1.0),
         "distinct_pairs": _share(F.size(F.array_distinct("_pairs")), F.size("_pairs"), 1.0),
-        "distinct_sentences": _share(F.size(F.array_distinct("_parts")), F.size("_parts"), 1.0),
+        "distinct_clauses": _share(F.size(F.array_distinct("_parts")), F.size("_parts"), 1.0),
         "n_words": F.col("_n").cast("double"),
     }
     # The generator of one row keeps later filters above it; pushed below, they would compute the lists once per use.

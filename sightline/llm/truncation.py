@@ -14,7 +14,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +38,9 @@ WORDS_HELD = 200_000  # words that a counting task holds before it hands its cou
 
 _INVISIBLE = re.compile("[­​-‏‪-‮⁠-⁤﻿]")
 _MARK = re.compile(r"(?:\s*(?:\[[^\[\]]{0,14}\]?|\((?:cut|more|truncated|continued)\)?|…|\.{2,}|&[a-z]{0,7};?|\\(?:u[0-9a-fA-F]{0,4}|n|x\w{0,2})?|</?\w{0,8}/?>?))+\s*$", re.I)
+_MARK_HINT = re.compile(r"[\[(…&\\<]|\.\.")  # stands in every mark
 _WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
+_STOP = re.compile(r"[\W_]*$")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+(?=[A-Z\"'(])")
 
 
@@ -47,14 +50,19 @@ def _class(word: str) -> str:
 
 def tidy(text: str) -> tuple[str, str]:
     """The text without blanks and marks of a break at its end, and the kind of mark ('' if none)."""
-    text = _INVISIBLE.sub("", text).replace("\xa0", " ").rstrip()
+    if not text.isascii():
+        text = _INVISIBLE.sub("", text).replace("\xa0", " ")
+    text = text.rstrip()
     left, kind = text, ""
-    while found := _MARK.search(left, max(0, len(left) - 200)):  # marks are short; a longer row of them is taken off in turns
+    while True:
+        near = max(0, len(left) - 200)  # marks are short; a longer row of them is taken off in turns
+        found = _MARK.search(left, near) if _MARK_HINT.search(left, near) else None
+        if not found:
+            return left, kind
         shorter = left[: found.start()].rstrip()
         if not shorter:
             return text, ""
         left, kind = shorter, "other" if kind == "other" or not set(found.group().strip()) <= set(".…") else "dots"
-    return left, kind
 
 
 def _tail(text: str) -> str:
@@ -75,29 +83,44 @@ def last_word(text: str) -> str:
     return _class(words[-1]) if words else ""
 
 
-def features(text: str, table: str, known: frozenset[str] | set[str], limits: tuple[int, ...], shown: int | None = None) -> list[int]:
-    """Hashed feature numbers of how ``text`` closes. ``shown``: its length as stored, if it differs."""
+def _hashed(names: list[str]) -> list[int]:
+    return [zlib.crc32(x.encode()) >> (32 - BITS) for x in names]
+
+
+def closing(text: str, table: str, limits: tuple[int, ...], shown: int | None = None) -> tuple[str, list[int], Callable[[bool], list[int]]]:
+    """How ``text`` closes: its last word's class, the hashed features that do not hang on whether this word is known, and
+    those that do. ``shown``: the text's length as stored, if it differs."""
     left, mark = tidy(text)
     tail = _tail(left)
-    stop = re.search(r"[\W_]*$", tail).group().strip()
+    stop = _STOP.search(tail).group().strip()
     words = _WORD.findall(tail)
     last = words[-1] if words else ""
     w = _class(last)
     before = [_class(x) for x in words[-4:-1]]
     p1, p2 = (before[-1] if before else "^"), (before[-2] if len(before) > 1 else "^")
     shape = "U" if len(last) > 1 and last.isupper() else "C" if last[:1].isupper() else "d" if last.isdigit() else "l"
-    is_known = "k" if w in known or w == "0" else "n"
     opened = left.count('"') % 2 == 1
     length = len(text.rstrip()) if shown is None else shown
     near = "at" if length in limits or length + 1 in limits else "no"
     ended = "." if stop[:1] in (".", "!", "?") else '"' if '"' in stop else stop[:1]
     damaged = "�" in last or stop[:1] == "�"
-    out = [f"w={w}", f"p={p1} {w}", f"pp={p2} {p1} {w}", f"ks={is_known}{shape}", f"kse={is_known}{shape}{ended}", f"pk={p1} {is_known}", f"ps={p1} {w[-1:]}", f"end={ended}", f"open={opened}", f"openend={opened}{ended}", f"near={near}", f"neark={near}{is_known}", f"mark={mark}", f"dam={damaged}", f"len={min(len(w), 8)}{is_known}"]
-    out += [f"s{k}={shape}{w[-k:]}" for k in range(1, 7) if len(w) >= k]
-    if is_known == "n":
-        out += [f"n{k}={shape}{w[-k:]}" for k in range(2, 6) if len(w) > k]
-    out += [f"{table} near={near}{is_known}", f"{table} end={ended}", f"{table} w={w}"]
-    return [zlib.crc32(x.encode()) >> (32 - BITS) for x in out]
+    plain = [f"w={w}", f"p={p1} {w}", f"pp={p2} {p1} {w}", f"ps={p1} {w[-1:]}", f"end={ended}", f"open={opened}", f"openend={opened}{ended}", f"near={near}", f"mark={mark}", f"dam={damaged}", f"{table} end={ended}", f"{table} w={w}"]
+    plain += [f"s{k}={shape}{w[-k:]}" for k in range(1, 7) if len(w) >= k]
+
+    def told(known: bool) -> list[int]:
+        k = "k" if known or w == "0" else "n"
+        out = [f"ks={k}{shape}", f"kse={k}{shape}{ended}", f"pk={p1} {k}", f"neark={near}{k}", f"len={min(len(w), 8)}{k}", f"{table} near={near}{k}"]
+        if k == "n":
+            out += [f"n{i}={shape}{w[-i:]}" for i in range(2, 6) if len(w) > i]
+        return _hashed(out)
+
+    return w, _hashed(plain), told
+
+
+def features(text: str, table: str, known: frozenset[str] | set[str], limits: tuple[int, ...], shown: int | None = None) -> list[int]:
+    """Hashed feature numbers of how ``text`` closes (see ``closing``)."""
+    w, plain, told = closing(text, table, limits, shown)
+    return plain + told(w in known)
 
 
 WIDTH = 34
@@ -129,45 +152,43 @@ def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = 8, bat
     return w
 
 
-def counted(texts: list[str], limits: tuple[int, ...], counts: dict[str, list[int]]) -> None:
-    """Adds the words of ``texts`` to ``counts``: inside a text, in all, at an end, as a text's last word.
+Counts = dict[str, Counter]  # by what is counted: inside a text, in all, at an end, as a text's last word
+_COUNTED = ["inside", "total", "ends", "last"]
 
-    An end is that of an inner sentence or of a text that no limit or mark has cut.
-    """
-    for t in texts:
-        left, mark = tidy(t)
-        parts = _SENTENCE.split(left)
-        whole = [_class(w) for w in _WORD.findall(left)]
-        for w in whole[:-1]:
-            counts.setdefault(w, [0, 0, 0, 0])[0] += 1
-        if whole:
-            counts.setdefault(last_word(t), [0, 0, 0, 0])[3] += 1
-        for k, part in enumerate(parts):
-            words = [_class(w) for w in _WORD.findall(part)]
-            for w in words:
-                counts.setdefault(w, [0, 0, 0, 0])[1] += 1
-            if words and (k < len(parts) - 1 or (mark != "other" and len(t) not in limits and len(t.rstrip()) not in limits)):
-                counts[words[-1]][2] += 1
+
+def counted(text: str, limits: tuple[int, ...], counts: Counts) -> None:
+    """Adds the words of ``text`` to ``counts``. An end is that of an inner sentence or of a text no limit or mark has cut."""
+    left, mark = tidy(text)
+    parts = [[_class(w) for w in _WORD.findall(part)] for part in _SENTENCE.split(left)]
+    whole = [w for part in parts for w in part]
+    if not whole:
+        return
+    counts["inside"].update(whole[:-1])
+    counts["total"].update(whole)
+    counts["last"][whole[-1]] += 1
+    closed = parts if mark != "other" and len(text) not in limits and len(text.rstrip()) not in limits else parts[:-1]
+    counts["ends"].update(part[-1] for part in closed if part)
 
 
 def word_counts(texts: DataFrame, table: str, text: str, limits: dict[str, tuple[int, ...]]) -> DataFrame:
     """word, inside, total, ends, last over all ``texts``, added up in each task before the shuffle."""
 
+    def out(counts: Counts) -> pd.DataFrame:
+        return pd.DataFrame([(w, *[counts[c][w] for c in _COUNTED]) for w in counts["total"]], columns=["word", *_COUNTED])
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: dict[str, list[int]] = {}
-        out = lambda: pd.DataFrame([(w, *n) for w, n in counts.items()], columns=["word", "inside", "total", "ends", "last"])
+        counts: Counts = {c: Counter() for c in _COUNTED}
         for batch in batches:
-            for name, part in batch.groupby("_table", sort=False):
-                for t in part["_text"]:
-                    counted([t], limits.get(name, ()), counts)
-                    if len(counts) >= WORDS_HELD:
-                        yield out()
-                        counts.clear()
-        yield out()
+            for name, t in zip(batch["_table"], batch["_text"]):
+                counted(t, limits.get(name, ()), counts)
+                if len(counts["total"]) >= WORDS_HELD:
+                    yield out(counts)
+                    counts = {c: Counter() for c in _COUNTED}
+        yield out(counts)
 
     rows = texts.select(F.col(table).alias("_table"), F.col(text).alias("_text"))
     parts = rows.mapInPandas(count, "word string, inside bigint, total bigint, ends bigint, last bigint")
-    return parts.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("inside", "total", "ends", "last")])
+    return parts.groupBy("word").agg(*[F.sum(c).alias(c) for c in _COUNTED])
 
 
 def is_known(inside: Column, last: Column) -> Column:
@@ -277,7 +298,7 @@ def fit(sample: DataFrame, words: DataFrame, limits: dict[str, tuple[int, ...]],
                 t = tidy(raw)[0]
                 out.update(_class(w) for w in _WORD.findall(t))
                 out.update(last_word(t[:k]) for k in cut_spots(t, limits.get(name, ()), seed))
-            yield pd.DataFrame({"word": sorted(out)})
+            yield pd.DataFrame([(w,) for w in sorted(out)], columns=["word"])
 
     asked = sample.mapInPandas(ending, "word string").distinct()
     told = words.filter("known or total >= 12").join(asked, "word", "left_semi").select("word", "known", "total", "ends").collect()  # of the sample's words only
@@ -305,12 +326,21 @@ def fit(sample: DataFrame, words: DataFrame, limits: dict[str, tuple[int, ...]],
     return Model(np.frombuffer(bytes(fitted["weights"])) if fitted else np.zeros((1 << BITS) + 1), limits)
 
 
-def scores(texts: list[str], tables: list[str], known: list[bool], model: Model) -> np.ndarray:
-    """Log-odds of each text being cut; minus infinity for null and blank texts. ``known``: whether its last word is."""
-    blank = [not t or not t.strip() for t in texts]
-    rows = [[] if b else features(t, table, {last_word(t)} if k else frozenset(), model.limits.get(table, ())) for t, table, k, b in zip(texts, tables, known, blank)]
+def scores(texts: list[str | None], tables: list[str], model: Model) -> pd.DataFrame:
+    """For each text its last word and the log-odds of its being cut, if that word is known and if it is not; null and
+    blank texts have minus infinity."""
+    rows, last = [], []
+    for t, table in zip(texts, tables):
+        if not t or not t.strip():
+            rows += [[], []]
+            last.append(None)
+            continue
+        w, plain, told = closing(t, table, model.limits.get(table, ()))
+        rows += [plain + told(True), plain + told(False)]
+        last.append(w or None)
     z = model.weights[_matrix(rows)].sum(1) if rows else np.zeros(0)
-    return np.where(blank, -np.inf, z)
+    z = np.where([not r for r in rows], -np.inf, z)
+    return pd.DataFrame({"last": last, "known": z[0::2], "unknown": z[1::2]})
 
 
 def prepared(texts: DataFrame, table: str, text: str, sample_texts: int = SAMPLE_TEXTS) -> tuple[Model, DataFrame]:
@@ -337,15 +367,12 @@ def score_all(texts: DataFrame, table: str, text: str, sample_texts: int = SAMPL
     fitted_model, words = fitted or prepared(texts, table, text, sample_texts)
     model = texts.sparkSession.sparkContext.broadcast(fitted_model)
 
-    @F.pandas_udf("string")
-    def closing(t: pd.Series) -> pd.Series:
-        return t.map(lambda x: last_word(x) or None if x else None)
-
-    @F.pandas_udf("double")
-    def score(t: pd.Series, n: pd.Series, k: pd.Series) -> pd.Series:
-        return pd.Series(scores(t.tolist(), n.tolist(), k.tolist(), model.value))
+    @F.pandas_udf("last string, known double, unknown double")
+    def score(t: pd.Series, n: pd.Series) -> pd.DataFrame:
+        return scores(t.tolist(), n.tolist(), model.value)
 
     listed = words.filter("known").select(F.col("word").alias("_last"), F.lit(True).alias("_listed"))
-    told_of = texts.withColumn("_last", closing(F.col(text))).join(listed, "_last", "left")
-    scored = told_of.withColumn("cut_score", score(F.col(text), F.col(table), F.coalesce("_listed", F.lit(False)))).drop("_last", "_listed")
-    return scored.withColumn("cut", F.col("cut_score") > 0)
+    own = [c for c in texts.columns if c not in ("cut_score", "cut")]
+    seen = texts.select(F.struct(*own).alias("_row"), score(F.col(text), F.col(table)).alias("_z")).withColumn("_last", F.col("_z.last"))
+    told = seen.join(listed, "_last", "left").select("_row.*", F.when(F.coalesce("_listed", F.lit(False)), F.col("_z.known")).otherwise(F.col("_z.unknown")).alias("cut_score"))
+    return told.withColumn("cut", F.col("cut_score") > 0)
