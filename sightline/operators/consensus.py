@@ -60,50 +60,53 @@ def clustered(detections: DataFrame, keys: list[str], row: str, rules: Rules = R
     return joined.withColumn("cluster", F.coalesce("_least", F.col(row))).drop("_least")
 
 
-def cluster_statistics(members: DataFrame, keys: list[str], row: str, rules: Rules = Rules()) -> DataFrame:
-    """One row per cluster: detectors, support, matched cross-detector pairs, median IoU of those pairs, mean score, size.
-
-    The median runs over all cross-detector pairs of a cluster, 0 if there are none; null scores do not count. Clusters are
-    small by nature: near-copies of one detector are thinned out before.
-    """
-    by = [*keys, "cluster"]
-    slim = members.select(*by, row, "grounder", "x1", "y1", "x2", "y2")
-    a, b = slim.alias("a"), slim.alias("b")
-    pairs = a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in by] + [F.col(f"a.{row}") < F.col(f"b.{row}"), F.col("a.grounder") != F.col("b.grounder")])
-    measured = pairs.select(*[F.col(f"a.{k}").alias(k) for k in by], iou(box("a."), box("b.")).alias("_iou"), _matched("a.", "b.", rules).alias("_ok"))
-    per_pair = measured.groupBy(*by).agg(F.count_if("_ok").alias("matched_pairs"), F.median("_iou").alias("median_iou"))
-    per_member = members.groupBy(*by).agg(
-        F.array_sort(F.collect_set("grounder")).alias("detectors"), F.count_distinct("grounder").alias("support"), F.avg("score").alias("mean_score"), F.count("*").alias("members")
-    )
-    joined = per_member.join(per_pair, by, "left")
-    return joined.withColumn("matched_pairs", F.coalesce("matched_pairs", F.lit(0))).withColumn("median_iou", F.coalesce("median_iou", F.lit(0.0)))
-
+def summaries(members: DataFrame, keys: list[str], row: str, rules: Rules = Rules()) -> DataFrame:
+    """One row per cluster: detectors, support, matched_pairs, median_iou, mean_score, members, and the box that stands for it
+    (x1..y2, representative, method).
 
-def representatives(members: DataFrame, keys: list[str], row: str, rules: Rules = Rules()) -> DataFrame:
-    """The box that stands for each cluster: by mean IoU to the other detectors' boxes, scored ones and higher scores
-    first among equals, then the earliest row.
+    The median runs over all cross-detector pairs of a cluster, 0 if there are none; null scores do not count. The box is
+    that with the greatest mean IoU to the other detectors' boxes, scored ones and higher scores first among equals, then
+    the earliest row. If ``members`` has the columns tx1..ty2 (the tight box of a mask, null where there is none), a tight
+    box of the mask detector that still matches another detector's box goes before all detected boxes.
 
-    If ``members`` has the columns tx1..ty2 (the tight box of a mask, null where there is none), a tight box of the mask
-    detector that still matches another detector's box goes before all detected boxes.
+    Members of a cluster meet once, across detectors only; both sums follow in the same partitions. Clusters are small by
+    nature: near-copies of one detector are thinned out before.
     """
-    by = [*keys, "cluster"]
-    slim = members.select(*by, F.col(row).alias("_row"), "grounder", "score", "x1", "y1", "x2", "y2")
+    by, corners = [*keys, "cluster"], ["x1", "y1", "x2", "y2"]
+    slim = members.select(*by, F.col(row).alias("_row"), "grounder", "score", *corners)
     options = slim.withColumn("_tight", F.lit(0))
     if "tx1" in members.columns:
         tight = members.filter((F.col("grounder") == rules.mask_detector) & F.col("tx1").isNotNull())
-        options = options.unionByName(tight.select(*by, F.col(row).alias("_row"), "grounder", "score", *[F.col("t" + c).alias(c) for c in ("x1", "y1", "x2", "y2")], F.lit(1).alias("_tight")))
-    a, b = options.alias("a"), slim.alias("b")
+        options = options.unionByName(tight.select(*by, F.col(row).alias("_row"), "grounder", "score", *[F.col("t" + c).alias(c) for c in corners], F.lit(1).alias("_tight")))
+    a, b = options.alias("a"), slim.drop("score").alias("b")
     met = a.join(b, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in by] + [F.col("a.grounder") != F.col("b.grounder")], "left")
-    scored = met.groupBy(*[F.col(f"a.{k}").alias(k) for k in by], *[F.col(f"a.{c}").alias(c) for c in ("_row", "_tight", "grounder", "score", "x1", "y1", "x2", "y2")]).agg(
-        F.round(F.coalesce(F.avg(F.when(F.col("b._row").isNotNull(), iou(box("a."), box("b.")))), F.lit(0.0)), 9).alias("_mean"),
-        F.bool_or(F.when(F.col("b._row").isNotNull(), _matched("a.", "b.", rules))).alias("_ok"),
-    )
-    able = scored.filter("_tight = 0 or _ok")
-    best = F.max_by(
-        F.struct("grounder", "x1", "y1", "x2", "y2", F.when(F.col("_tight") == 1, "mask_tight").otherwise("detection_medoid").alias("method")),
-        F.struct("_tight", "_mean", F.col("score").isNotNull(), F.coalesce("score", F.lit(0.0)), -F.col("_row")),
-    ).alias("_b")
-    return able.groupBy(*by).agg(best).select(*by, *[F.col("_b")[c].alias(c) for c in ("x1", "y1", "x2", "y2")], F.col("_b")["grounder"].alias("representative"), F.col("_b")["method"].alias("method"))
+    there, once = F.col("b._row").isNotNull(), (F.col("a._tight") == 0) & (F.col("a._row") < F.col("b._row"))
+    measured = met.select("a.*", F.when(there, iou(box("a."), box("b."))).alias("_iou"), F.when(there, _matched("a.", "b.", rules)).alias("_ok"), F.coalesce(once, F.lit(False)).alias("_once"))
+    each = measured.groupBy(*by, "_row", "_tight", "grounder", "score", *corners).agg(
+        F.round(F.coalesce(F.avg("_iou"), F.lit(0.0)), 9).alias("_mean"), F.bool_or("_ok").alias("_any"),
+        F.count_if(F.col("_ok") & F.col("_once")).alias("_pairs"), F.collect_list(F.when(F.col("_once"), F.col("_iou"))).alias("_ious"),
+    )
+    seen, able = F.col("_tight") == 0, (F.col("_tight") == 0) | F.coalesce("_any", F.lit(False))
+    chosen = F.struct("grounder", *corners, F.when(F.col("_tight") == 1, "mask_tight").otherwise("detection_medoid").alias("method"))
+    rank = F.struct("_tight", "_mean", F.col("score").isNotNull(), F.coalesce("score", F.lit(0.0)), -F.col("_row"))
+    d = each.groupBy(*by).agg(
+        F.array_sort(F.collect_set("grounder")).alias("detectors"), F.count_distinct("grounder").alias("support"), F.sum("_pairs").alias("matched_pairs"),
+        F.avg(F.when(seen, F.col("score"))).alias("mean_score"), F.count_if(seen).alias("members"),
+        F.sort_array(F.flatten(F.collect_list("_ious"))).alias("_all"), F.max_by(F.when(able, chosen), F.when(able, rank)).alias("_b"),
+    )
+    n = F.size("_all")
+    middle = F.when(n > 0, (F.get("_all", F.floor((n - 1) / 2).cast("int")) + F.get("_all", F.floor(n / 2).cast("int"))) / 2).otherwise(0.0)
+    return d.select(*by, "detectors", "support", "matched_pairs", middle.alias("median_iou"), "mean_score", "members", *[F.col("_b")[c].alias(c) for c in corners], F.col("_b")["grounder"].alias("representative"), F.col("_b")["method"].alias("method"))
+
+
+def cluster_statistics(members: DataFrame, keys: list[str], row: str, rules: Rules = Rules()) -> DataFrame:
+    """The statistics of ``summaries``."""
+    return summaries(members, keys, row, rules).select(*keys, "cluster", "detectors", "support", "matched_pairs", "median_iou", "mean_score", "members")
+
+
+def representatives(members: DataFrame, keys: list[str], row: str, rules: Rules = Rules()) -> DataFrame:
+    """The boxes of ``summaries``."""
+    return summaries(members, keys, row, rules).select(*keys, "cluster", "x1", "y1", "x2", "y2", "representative", "method")
 
 
 def instances(detections: DataFrame, images: DataFrame, keys: list[str], row: str, rules: Rules = Rules(), sized: bool = True) -> DataFrame:
@@ -113,9 +116,8 @@ def instances(detections: DataFrame, images: DataFrame, keys: list[str], row: st
     to right. ``images`` (with image_id, width, height) is joined only if ``sized``.
     """
     thin = written(thinned(detections, keys, row, rules), "thinned")
-    members = written(clustered(thin, keys, row, rules, alone=rules.min_support < 2), "members")
-    stats = cluster_statistics(members, keys, row, rules).filter(F.col("support") >= rules.min_support)
-    found = stats.join(representatives(members, keys, row, rules), [*keys, "cluster"])
+    members = clustered(thin, keys, row, rules, alone=rules.min_support < 2)
+    found = summaries(members, keys, row, rules).filter(F.col("support") >= rules.min_support)
     if sized:
         b = box()
         found = found.join(images.select("image_id", "width", "height"), "image_id").withColumns(size_columns(b, F.col("width"), F.col("height")))
@@ -158,6 +160,23 @@ def regrounding_audit(targets: DataFrame, clusters: DataFrame, keys: list[str],
     )
 
 
+def geometry_audit(targets: DataFrame, boxes: DataFrame, keys: list[str], target: str, rules: Rules = Rules()) -> DataFrame:
+    """Whether what was found for a target is its box alone: keys, target, box_count, reground_iou, passed, reason.
+
+    Passed: exactly one box of the target's key, with enough overlap and a like size. The IoU reported is the greatest over
+    all boxes of the key, 0 if none overlaps. Boxes that overlap are found through the grid.
+    """
+    counted = boxes.groupBy(*keys).agg(F.count("*").alias("box_count"))
+    a, b = box("a."), box("b.")
+    near = overlapping_pairs(targets, boxes, keys, iou(a, b) > 0)
+    best = near.groupBy(*[F.col(f"a.{k}").alias(k) for k in [*keys, target]]).agg(F.max(F.struct(iou(a, b).alias("o"), size_ratio(a, b).alias("r"))).alias("_b"))
+    d = targets.select(*keys, target).join(counted, keys, "left").join(best, [*keys, target], "left")
+    n, o = F.coalesce("box_count", F.lit(0)), F.coalesce(F.col("_b")["o"], F.lit(0.0))
+    passed = (n == 1) & (o >= rules.min_iou) & F.coalesce(F.col("_b")["r"] <= rules.regrounding_size_ratio, F.lit(False))
+    reason = F.when(passed, None).when(n == 0, "no_valid_locator_box").otherwise("locator_target_disagreement")
+    return d.select(*keys, target, n.alias("box_count"), o.alias("reground_iou"), passed.alias("passed"), reason.alias("reason"))
+
+
 def repair_options(members: DataFrame, candidates: DataFrame, keys: list[str], row: str, rules: Rules = Rules(), limit: int = 2, target: str | None = None) -> DataFrame:
     """Smaller boxes of a candidate's own members that could replace its box: keys, row, box, support, place.
 

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sightline.plans import consensus, files_and_streams, phrases, relations
+from sightline.plans import consensus, deliveries, files_and_streams, phrases, relations
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = [consensus, relations, phrases, files_and_streams]
+_MODULES = [consensus, relations, phrases, deliveries, files_and_streams]
 
 
 def queries() -> dict[str, Query]:

@@ -1,7 +1,7 @@
 """Append logs as Structured Streams: windows with late rows, exactly-once appends, and per-key state.
 
-A log is read from a folder of Parquet files. Results go to a file sink with a checkpoint, both in the shared folder, so
-a restarted query goes on where it stopped and no row is written twice.
+A log is read from a folder of Parquet files. Results go to files with a checkpoint, both in the shared folder, so a
+restarted query goes on where it stopped and no row is written twice.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
+from sightline.operators.relational import first_per_key
 from sightline.session import scratch_path
 
 
@@ -29,30 +30,34 @@ def read_log(spark: SparkSession, folder: str, name: str, schema: StructType, fi
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
-def drain(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
-    """Runs ``stream`` over all that is there now and returns what its sink holds.
+def drain(stream: DataFrame, label: str, keys: list[str] | None = None, folder: str | None = None) -> DataFrame:
+    """Runs ``stream`` over all that is there now, batch by batch, and returns what its sink holds.
 
-    Appends go to files; other modes keep the last version of the result that a batch wrote.
+    Without ``keys`` rows are appended once. With ``keys`` each batch gives the new versions of the keys it touched, and of
+    every key the last one counts. Every batch of updates is a folder of its own, written anew if the batch is run again.
+    ``folder`` keeps output and checkpoint beyond this call: the next one goes on after the last finished batch.
     """
     spark = stream.sparkSession
-    out, checkpoint = scratch_path(spark, label), scratch_path(spark, label + "-checkpoint")
-    if mode == "append":
-        query = stream.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        query.awaitTermination()
+    base = folder or scratch_path(spark, label)
+    out, checkpoint = f"{base}/out", f"{base}/checkpoint"
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if keys is None:
+        writer.outputMode("append").format("parquet").option("path", out).start().awaitTermination()
         return spark.read.schema(stream.schema).parquet(out)
-    last: dict[str, str] = {}
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/b{number:09d}")
-        last["path"] = f"{out}/b{number:09d}"
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    query = stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(last["path"]) if last else spark.createDataFrame([], stream.schema)
+    writer.outputMode("update").foreachBatch(keep).start().awaitTermination()
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(at)  # an empty log gives no batch
+    versions = spark.read.schema(stream.schema.add("batch", "long")).parquet(out)
+    return first_per_key(versions, keys, [F.desc("batch")]).drop("batch")
 
 
 def windowed_counts(log: DataFrame, at: str, key: str, length: str, lateness: str) -> DataFrame:
-    """Rows per tumbling window and key; rows later than ``lateness`` behind the newest are dropped."""
+    """Rows per tumbling window and key. Windows that end ``lateness`` before the newest row of earlier batches are closed:
+    their state is dropped, and with it the rows that come for them later."""
     w = F.window(at, length)
     return log.withWatermark(at, lateness).groupBy(w.alias("w"), key).agg(F.count("*").alias("rows")).select(F.col("w.start").alias("window_start"), key, "rows")
 

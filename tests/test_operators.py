@@ -1,6 +1,7 @@
 """Golden values, and operators against plain Python."""
 
 import json
+import math
 import random
 
 import pytest
@@ -371,3 +372,90 @@ def test_answers_are_the_expected_ones_once(spark):
     assert got == {1: (0, 0, 0, True), 2: (1, 0, 0, False), 3: (0, 0, 1, False), 4: (0, 1, 0, False)}
     seen = spark.createDataFrame([(1, 1, True), (1, 2, False), (1, 3, None)], "k int, peer int, also_matches boolean")
     assert sorted(map(tuple, relational.conflict_ids(seen, ids([(1, 1), (1, 7)]), ["k"], "peer").collect())) == [(1, 1), (1, 7)]
+
+
+# --- streams
+
+
+def test_streams_over_batches_late_rows_and_a_restart(spark, tmp_path):
+    from datetime import datetime
+
+    from sightline.streaming import replay
+
+    schema = "request_id bigint, image_id bigint, stage string, ts timestamp, committed boolean"
+    at = lambda h, m: datetime(2025, 1, 1, h, m)
+
+    def add(*rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "log.parquet"))
+
+    def log():
+        return replay.read_log(spark, str(tmp_path), "log", spark.createDataFrame([], schema).schema, files_per_batch=1)
+
+    def results():
+        windows = replay.drain(replay.windowed_counts(log(), "ts", "stage", "1 hour", "10 minutes"), "w", ["window_start", "stage"], f"file://{tmp_path}/w")
+        once = replay.drain(replay.once_per_key(log(), ["request_id"], "ts", "10 minutes"), "o", folder=f"file://{tmp_path}/o")
+        states = replay.drain(replay.progress_states(log()), "s", ["image_id"], f"file://{tmp_path}/s")
+        return (
+            {(r["window_start"].hour, r["stage"]): r["rows"] for r in windows.collect()},
+            sorted(r["request_id"] for r in once.collect()),
+            {r["image_id"]: (r["step"], r["committed"], r["last_request"]) for r in states.collect()},
+        )
+
+    add((1, 7, "a", at(10, 0), True), (2, 7, "a", at(10, 30), False))
+    add((3, 8, "a", at(12, 30), True), (3, 8, "a", at(12, 30), True))
+    add((4, 9, "b", at(12, 31), True))
+    windows, once, states = results()
+    assert windows == {(10, "a"): 2, (12, "a"): 2, (12, "b"): 1} and once == [1, 2, 3, 4]
+    assert states == {7: (2, 1, 2), 8: (2, 2, 3), 9: (1, 1, 4)}
+    add((5, 7, "a", at(10, 5), True), (6, 8, "a", at(12, 40), True), (3, 8, "a", at(12, 30), True))  # the first comes too late
+    windows, once, states = results()
+    assert windows == {(10, "a"): 2, (12, "a"): 4, (12, "b"): 1} and once == [1, 2, 3, 4, 6]
+    assert states == {7: (3, 2, 5), 8: (4, 4, 6), 9: (1, 1, 4)}
+    assert results() == (windows, once, states)
+
+
+# --- deliveries, reconciliation, coverage
+
+
+def test_coverage_of_the_golden_case(spark):
+    rows = [("s", False, 0, True)] * 6 + [("s", None, 1, True)] * 4 + [("s", True, 3, False)] + [("bad", True, None, None)]
+    got = {r["k"]: r.asDict() for r in relational.coverage(spark.createDataFrame(rows, "k string, invalid boolean, found int, rechecked boolean"), ["k"]).collect()}
+    s, bad = got["s"], got["bad"]
+    assert (s["total"], s["valid"], s["invalid"], s["empty"], s["rechecked"], s["recovered"], s["distribution"], s["warning"]) == (11, 10, 1, 6, 10, 4, "0:6,1:4", True)
+    assert (bad["valid"], bad["empty"], bad["empty_share"], bad["distribution"], bad["warning"]) == (0, 0, None, "", False)
+
+
+def test_reconciling_takes_whole_known_answers_only(spark):
+    df = lambda rows, schema: spark.createDataFrame(rows, schema)
+    requests = df([(1, "p", "h"), (2, "q", "h"), (3, "r", None), (4, "s", "h"), (5, "t", "h"), (6, "p", "h")], "request_id int, phrase string, sha string")
+    prior = df([(11, "p", "h"), (12, "q", "h"), (13, "r", None), (14, "s", "h"), (15, "t", "h")], "request_id int, phrase string, sha string")
+    progress = df([(11, 2, "now"), (12, 1, "now"), (13, 1, "now"), (14, 0, "now"), (15, 1, "old"), (11, 2, "now")], "request_id int, detections int, context string")
+    rows = df([(11, 0, 0.5), (11, 1, 0.6), (12, 0, 0.1), (12, 1, 0.1), (13, 0, 0.1), (15, 0, 0.1)], "request_id int, detection_index int, score double")
+    got = relational.reconciled(requests, prior, progress, rows, ["phrase", "sha"], "now").collect()
+    assert sorted(((r["request_id"], r["detection_index"]) for r in got), key=str) == [(1, 0), (1, 1), (4, None), (6, 0), (6, 1)]
+
+
+def test_a_drain_stops_at_its_rounds(spark):
+    state = spark.createDataFrame([(1, 0, 0), (2, 2, 0), (3, 9, 0), (4, None, 0)], "id int, needed int, n int")
+    done = relational.drained(state, F.col("n") < F.col("needed"), lambda d: d.withColumn("n", F.col("n") + 1), max_rounds=3)
+    assert sorted((r["id"], r["n"]) for r in done.collect()) == [(1, 0), (2, 2), (3, 4), (4, 0)]
+
+
+def test_over_long_requests_are_not_asked_again(spark):
+    from sightline.operators import inference
+
+    def model(batch):
+        return [inference.OverContext("long") if v == 1 else inference.InvalidAnswer("bad") if v == 2 else {"boxes": [{"x1": -5.0, "y1": 0.0, "x2": 5.0, "y2": 5.0, "score": None}, {"x1": 90.0, "y1": 0.0, "x2": 99.0, "y2": 5.0, "score": 1.0}]} for v in batch["v"]]
+
+    df = spark.createDataFrame([(k, v, 50, 50) for k, v in enumerate([0, 1, 2])] + [(0, 0, 50, 50)], "request_id int, v int, width int, height int")
+    found, markers = inference.ground(df, ["v"], model)
+    assert [tuple(r) for r in found.collect()] == [(0, 0, 0.0, 0.0, 5.0, 5.0, None)]
+    assert sorted(tuple(r) for r in markers.collect()) == [(0, 1, 1, None), (1, 0, 1, "long"), (2, 0, 3, "bad")]
+
+
+def test_summaries_prefer_a_matching_tight_box(spark):
+    rows = [(1, 1, 1, "sam31", 0.9, 0.0, 0.0, 10.0, 10.0, 1.0, 1.0, 9.0, 9.0), (1, 1, 2, "x", 0.5, 1.0, 1.0, 9.0, 9.0, None, None, None, None), (1, 1, 3, "y", None, 0.0, 0.0, 10.0, 9.0, None, None, None, None)]
+    df = spark.createDataFrame(rows, "k int, cluster int, i int, grounder string, score double, x1 double, y1 double, x2 double, y2 double, tx1 double, ty1 double, tx2 double, ty2 double")
+    r = consensus.summaries(df, ["k"], "i").first()
+    assert (r["support"], r["members"], r["x1"], r["x2"], r["method"], r["detectors"]) == (3, 3, 1.0, 9.0, "mask_tight", ["sam31", "x", "y"])
+    assert math.isclose(r["mean_score"], 0.7) and r["matched_pairs"] == 3
