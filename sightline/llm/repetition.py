@@ -80,7 +80,9 @@ def with_repeated_share(d: DataFrame, words: str, where: Column) -> DataFrame:
         lambda a, i: F.struct((a["n"] + F.least(F.lit(RUN), i - a["at"])).alias("n"), i.alias("at")),
         lambda a: a["n"],
     )
-    return d.withColumn("repeated_share", F.when(F.col("_measured"), _share(covered, F.size(words), 0.0))).drop("_measured", "_sorted", "_again")
+    # Exploded from a list of one, so that filters on the share stay above the lists, which they would compute anew per run.
+    share = F.when(F.col("_measured"), _share(covered, F.size(words), 0.0))
+    return d.withColumn("repeated_share", F.explode(F.array(share))).drop("_measured", "_sorted", "_again")
 
 
 def shares(df: DataFrame, text: str) -> DataFrame:

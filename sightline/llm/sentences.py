@@ -18,6 +18,7 @@ placeholder range are split as if these were ordinary letters.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,11 +117,12 @@ def _enclosed(opening: dict[str, str]) -> Callable[[Column], Column]:
     return change
 
 
-Step = tuple[str | None, Callable[[Column], Column]]
+#: A pattern, or strings, without which a text does not need the change; and the change.
+Step = tuple[str | tuple[str, ...], Callable[[Column], Column]]
 
 
 def steps() -> list[Step]:
-    """The masking steps in order: a pattern without which a text needs no such step (none: always), and the change.
+    """The masking steps in order.
 
     After all of them a text has its old length, and every end mark left in it ends a unit. What may be of any length before
     a mark is matched forwards and put back, so nothing hangs on how many blanks or letters stand there.
@@ -170,21 +172,22 @@ def steps() -> list[Step]:
         for a, z in BRACKETS[:2]
     ]
     return [
-        (None, lambda c: _translate(_replace(c, (f"[{chr(_BASE)}-{chr(_BASE + 0xFF)}]", "�"), (r"\n(?=[ \t\r\f\x{a0}\x{3000}\x{200b}]*\n)", PARAGRAPH)), _plain)),
+        (r"[^\x{0}-\x{ff}]", lambda c: _translate(_replace(c, (f"[{chr(_BASE)}-{chr(_BASE + 0xFF)}]", "�")), _plain)),
+        (("\n",), lambda c: _replace(c, (r"\n(?=[ \t\r\f\x{a0}\x{3000}\x{200b}]*\n)", PARAGRAPH))),
         (rf"\n{listed}", lambda c: _translate(_replace(c, (unfinished, f"$1{LINE}"), (rf"\n(?={listed})", ITEM)), {LINE: "\n"})),
-        (address, lambda c: _segments(c, rf"{address}[^\s\p{{Z}}{PARAGRAPH}{ITEM}]*", rf"(?:(?!{address})[\s\S])+", lambda p: p.rlike(f"^{address}"), inside_address)),
+        (("http", "www."), lambda c: _segments(c, rf"{address}[^\s\p{{Z}}{PARAGRAPH}{ITEM}]*", rf"(?:(?!{address})[\s\S])+", lambda p: p.rlike(f"^{address}"), inside_address)),
         (r"\d\.[ \t\x{a0}\x{3000}]", lambda c: _replace(c, (rf"((?:^|[{PARAGRAPH}{ITEM}])[{_BLANK}]*+\(?\d{{1,3}})\.(?=[ \t\x{{a0}}\x{{3000}}])", f"$1{DOT}"))),
-        (rf"\d\.[{_BLANK}]", lambda c: _replace(c, (rf"((?:^|[^{_WORD}])(?:{_any(ORDINAL_AFTER)})[{_BLANK}]+\d{{1,2}})\.(?=[{_BLANK}])", f"$1{DOT}"))),
-        (rf"(?:\.\.|…)(?<=[{_CJK}](?:\.\.|…))", lambda c: _replace(c, (rf"(?<=[{_CJK}])\.(?=\.)|\G(?!\A)\.", DOT), (rf"(?<=[{_CJK}])…|\G(?!\A)…", MASK))),
-        (rf"т\.[{_BLANK}]+[дп]\.", lambda c: _replace(c, (rf"({alone}т\.[{_BLANK}]+[дп])\.(?!\.){follows.replace('(?=', '(?!', 1)}", f"$1{STOP}"))),
-        (r"\.", lambda c: _replace(c, (rf"\.(?:{'|'.join(dot)})", DOT))),
+        (rf"[{_BLANK}]\d{{1,2}}\.[{_BLANK}]", lambda c: _replace(c, (rf"((?:^|[^{_WORD}])(?:{_any(ORDINAL_AFTER)})[{_BLANK}]+\d{{1,2}})\.(?=[{_BLANK}])", f"$1{DOT}"))),
+        (("..", "…"), lambda c: _replace(c, (rf"(?<=[{_CJK}])\.(?=\.)|\G(?!\A)\.", DOT), (rf"(?<=[{_CJK}])…|\G(?!\A)…", MASK))),
+        (("т.",), lambda c: _replace(c, (rf"({alone}т\.[{_BLANK}]+[дп])\.(?!\.){follows.replace('(?=', '(?!', 1)}", f"$1{STOP}"))),
+        ((".",), lambda c: _replace(c, (rf"\.(?:{'|'.join(dot)})", DOT))),
         (r"[!?][.!?]*[,;:]", lambda c: _replace(c, (r"[!?](?=[.!?]*[,;:])", MASK))),
-        (f"[…{STOP}]", lambda c: _translate(_replace(c, (rf"…(?:(?=…*[{_CJK}])|(?=…*{going_on}))", MASK)), {STOP: ".", "…": END})),
-        (f"[{openers['quotes']}]", lambda c: _from_openers(c, quoted, openers["quotes"] + colons, _enclosed({'"': OPEN_STRAIGHT}))),
-        ("'", lambda c: _replace(c, (r"'(?<=[\p{L}\p{N}]')(?=\p{L})", APOSTROPHE))),
-        (f"['{left}]", lambda c: _from_openers(c, f"{colon}(?:{single})", f"'{left}{colons}", _enclosed({"'": OPEN_SINGLE}))),
-        ("[" + openers["brackets"].replace("[", "\\[") + "]", lambda c: _from_openers(c, enclosed, openers["brackets"], _enclosed({}))),
-        (f"[{_ended[')']}{_ended['）']}]", lambda c: _replace(c, *between)),
+        (("…", STOP), lambda c: _translate(_replace(c, (rf"…(?:(?=…*[{_CJK}])|(?=…*{going_on}))", MASK)), {STOP: ".", "…": END})),
+        (tuple(openers["quotes"]), lambda c: _from_openers(c, quoted, openers["quotes"] + colons, _enclosed({'"': OPEN_STRAIGHT}))),
+        (("'",), lambda c: _replace(c, (r"'(?<=[\p{L}\p{N}]')(?=\p{L})", APOSTROPHE))),
+        (("'", left), lambda c: _from_openers(c, f"{colon}(?:{single})", f"'{left}{colons}", _enclosed({"'": OPEN_SINGLE}))),
+        (tuple(openers["brackets"]), lambda c: _from_openers(c, enclosed, openers["brackets"], _enclosed({}))),
+        ((_ended[")"], _ended["）"]), lambda c: _replace(c, *between)),
         (rf"[{_THAI}] ", lambda c: _replace(c, (rf" (?<=[{_THAI}] )(?=[ \x{{a0}}]*[{_THAI}])", THAI))),
     ]
 
@@ -193,7 +196,8 @@ def masked(df: DataFrame, column: str) -> DataFrame:
     """``df`` with the placeholders put into ``column``, one projection a step; texts that need no step pass it by."""
     for gate, change in steps():
         c = F.col(column)
-        df = df.withColumn(column, change(c) if gate is None else F.when(c.rlike(gate), change(c)).otherwise(c))
+        needed = c.rlike(gate) if isinstance(gate, str) else reduce(Column.__or__, [F.contains(c, F.lit(x)) for x in gate])
+        df = df.withColumn(column, F.when(needed, change(c)).otherwise(c))
     return df
 
 
