@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sightline.functions.geometry import box, center_distance, center_offset, containment, iou, size_ratio
+from sightline.session import written
 
 CELL = 256.0
 
@@ -74,30 +75,63 @@ def duplicate_suspects(df: DataFrame, image: str, row: str, exact: float = 0.98,
 def nearest(df: DataFrame, image: str, row: str, k: int) -> DataFrame:
     """For each row its ``k`` nearest others of the image by centre, ties by row: image, row, other, distance.
 
-    Rows are compared within their image; ``df`` has width and height of the image. Meant for images of bounded size.
+    ``df`` has the box and width and height of the image; distances are squares in shares of the image. Centres are put into
+    cells as wide as hold about ``k`` of them. A row meets the rows of its own and the eight cells around; it is done once its
+    ``k``-th distance is less than a cell's width, and else looks again among cells twice as wide. So an image of any size
+    is cut into cells, and few rows look far. Rows without a centre are near to none.
     """
-    a, b = df.alias("a"), df.alias("b")
-    pairs = a.join(b, [F.col(f"a.{image}") == F.col(f"b.{image}"), F.col(f"a.{row}") != F.col(f"b.{row}")])
-    d = center_distance(box("a."), box("b."), F.col("a.width"), F.col("a.height"))
-    flat = pairs.select(F.col(f"a.{image}").alias(image), F.col(f"a.{row}").alias(row), F.col(f"b.{row}").alias("other"), d.alias("distance"))
-    order = Window.partitionBy(image, row).orderBy("distance", "other")
-    return flat.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k).drop("_n")
+    slim = df.select(image, row, "x1", "y1", "x2", "y2", "width", "height", ((F.col("x1") + F.col("x2")) / 2 / F.col("width")).alias("_u"), ((F.col("y1") + F.col("y2")) / 2 / F.col("height")).alias("_v"))
+    slim = slim.filter("_u is not null and _v is not null and not isnan(_u) and not isnan(_v)")
+    of_image = slim.groupBy(image).agg(F.count("*").alias("_n"), F.min("_u").alias("_u0"), F.min("_v").alias("_v0"), F.greatest(F.max("_u") - F.min("_u"), F.max("_v") - F.min("_v")).alias("_wide"))
+    cell = F.when(F.col("_wide") > 0, F.col("_wide") * F.least(F.lit(1.0), F.sqrt(k / F.col("_n")))).otherwise(1.0)
+    points = written(slim.join(of_image, image).withColumn("_cell", cell), "centres")
+    found = None
+    left, factor = points, 1.0
+    while True:
+        at = lambda c, f=factor: F.floor((F.col(f"_{c}") - F.col(f"_{c}0")) / (F.col("_cell") * f))
+        around = lambda c: F.explode(F.array(c - 1, c, c + 1))
+        a = left.withColumn("_cx", around(at("u"))).withColumn("_cy", around(at("v"))).alias("a")
+        b = points.withColumn("_cx", at("u")).withColumn("_cy", at("v")).alias("b")
+        met = a.join(b, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (image, "_cx", "_cy")] + [F.col(f"a.{row}") != F.col(f"b.{row}")])
+        d = center_distance(box("a."), box("b."), F.col("a.width"), F.col("a.height"))
+        flat = met.select(F.col(f"a.{image}").alias(image), F.col(f"a.{row}").alias(row), F.col(f"b.{row}").alias("other"), d.alias("distance"), F.col("a._n").alias("_n"), (F.col("a._cell") * factor).alias("_c"), F.col("a._wide").alias("_wide"))
+        near = flat.withColumn("_k", F.row_number().over(Window.partitionBy(image, row).orderBy("distance", "other"))).filter(F.col("_k") <= k)
+        whole = Window.partitionBy(image, row)
+        sure = (F.count("*").over(whole) >= F.least(F.lit(k), F.col("_n") - 1)) & ((F.max("distance").over(whole) < F.pow(F.col("_c") * (1 - 1e-9), 2)) | (F.count("*").over(whole) == F.col("_n") - 1) | (F.col("_c") >= F.col("_wide")))
+        settled = written(near.withColumn("_sure", sure).filter("_sure").select(image, row, "other", "distance"), "near")
+        found = settled if found is None else found.unionByName(settled)
+        left = written(left.filter("_n > 1").join(settled.select(image, row).distinct(), [image, row], "left_anti"), "far")
+        if not left.limit(1).count():
+            return found
+        factor *= 2
+
+
+def near_rows(df: DataFrame, image: str, row: str, k: int = 8, min_containment: float = 0.6) -> DataFrame:
+    """Rows that a phrase for ``row`` might be taken to mean for where they are: image, row, other, place.
+
+    They are among its ``k`` nearest, or one of the two boxes lies in the other by ``min_containment``; by distance, then row.
+    """
+    a, b = box("a."), box("b.")
+    over = F.greatest(containment(a, b), containment(b, a)) >= min_containment
+    pairs = overlapping_pairs(df, df, [image], (F.col(f"a.{row}") != F.col(f"b.{row}")) & over)
+    d = center_distance(a, b, F.col("a.width"), F.col("a.height"))
+    covered = pairs.select(F.col(f"a.{image}").alias(image), F.col(f"a.{row}").alias(row), F.col(f"b.{row}").alias("other"), d.alias("distance"))
+    either = covered.unionByName(nearest(df, image, row, k)).groupBy(image, row, "other").agg(F.min("distance").alias("distance"))
+    return either.withColumn("place", F.row_number().over(Window.partitionBy(image, row).orderBy("distance", "other"))).drop("distance")
 
 
-def competitors(df: DataFrame, image: str, row: str, k: int = 8, min_containment: float = 0.6) -> DataFrame:
-    """Rows that a phrase for ``row`` might be taken to mean: image, row, other, priority, place.
+def peer_classes(df: DataFrame, image: str, row: str, classes: dict[str, Column]) -> DataFrame:
+    """Rows that a phrase for ``row`` might be taken to mean for what they are called: image, row, kind, value, others.
 
-    Others of a shared category or query word come first (priority 0), then those that overlap or are among the ``k``
-    nearest (1); within them by distance, then row. ``df`` has category, query, the box, width and height.
+    ``classes`` gives for each kind the values (an array) that a row has. Rows of one image that share a value form a class;
+    each row is told with its classes and how many others are in them, instead of with every other row. Nulls and empty
+    values make no class.
     """
-    c = df.withColumn("_words", F.array_distinct(F.split(F.lower(F.trim(F.coalesce("query", F.lit("")))), r"\s+")))
-    a, b = c.alias("a"), c.alias("b")
-    pairs = a.join(b, [F.col(f"a.{image}") == F.col(f"b.{image}"), F.col(f"a.{row}") != F.col(f"b.{row}")])
-    d = center_distance(box("a."), box("b."), F.col("a.width"), F.col("a.height"))
-    shared = F.coalesce(F.col("a.category") == F.col("b.category"), F.lit(False)) | F.arrays_overlap(F.array_remove("a._words", ""), F.array_remove("b._words", ""))
-    over = F.greatest(containment(box("a."), box("b.")), containment(box("b."), box("a."))) >= min_containment
-    flat = pairs.select(F.col(f"a.{image}").alias(image), F.col(f"a.{row}").alias(row), F.col(f"b.{row}").alias("other"), F.when(shared, 0).otherwise(1).alias("priority"), over.alias("_over"), d.alias("_d"))
-    by_row = Window.partitionBy(image, row)
-    ranked = flat.withColumn("_near", F.row_number().over(by_row.orderBy("_d", "other")))
-    chosen = ranked.filter((F.col("priority") == 0) | F.col("_over") | (F.col("_near") <= k))
-    return chosen.withColumn("place", F.row_number().over(by_row.orderBy("priority", "_d", "other"))).select(image, row, "other", "priority", "place")
+
+    def told(kind: str, values: Column) -> Column:
+        return F.transform(F.array_distinct(F.coalesce(values, F.array().cast("array<string>"))), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("value")))
+
+    kinds = F.concat(*[told(k, v) for k, v in classes.items()])
+    flat = df.select(image, row, F.inline(kinds)).filter("value is not null and value <> ''")
+    sizes = flat.groupBy(image, "kind", "value").agg((F.count("*") - 1).alias("others"))
+    return flat.join(sizes, [image, "kind", "value"]).select(image, row, "kind", "value", "others")

@@ -133,13 +133,19 @@ def unmatched_boxes(spark: SparkSession, d: str) -> DataFrame:
     return spatial.without_overlap(det.filter("query_type = 'locator'"), det.filter("query_type = 'category'"), ["image_id"], ["image_id", "det_no"], 0.5).select("image_id", "det_no")
 
 
+def near_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Detections near each other: one in the other, or among the two nearest."""
+    det = X.detections(spark, d).join(X.sizes(spark, d), "image_id")
+    return spatial.near_rows(det, "image_id", "det_no", k=2).select("image_id", "det_no", "other", F.col("place").cast("int").alias("place"))
+
+
 def competitors(spark: SparkSession, d: str) -> DataFrame:
-    det = X.detections(spark, d).withColumn("query", F.concat_ws(" ", "grounder", "query_type")).join(X.sizes(spark, d), "image_id")
-    c = spatial.competitors(det, "image_id", "det_no", k=2)
-    return c.select("image_id", "det_no", "other", "priority", F.col("place").cast("int").alias("place"))
+    """For each detection the others called alike, by category and by word of its query, as classes with their sizes."""
+    words = F.split(F.lower(F.concat_ws(" ", "grounder", "query_type")), r"\s+")
+    return spatial.peer_classes(X.detections(spark, d), "image_id", "det_no", {"category": F.array("category"), "word": words})
 
 
-QUERIES = [nms_within_detector, pair_match, components, cluster_stats, representative_box, consensus_instances, consensus_rejections, reground_audit, repair_top2, size_assess, duplicate_suspects, final_dedup, unique_alignments, peer_candidates, promotion_topk, hint_admission, unmatched_boxes, competitors]
+QUERIES = [nms_within_detector, pair_match, components, cluster_stats, representative_box, consensus_instances, consensus_rejections, reground_audit, repair_top2, size_assess, duplicate_suspects, final_dedup, unique_alignments, peer_candidates, promotion_topk, hint_admission, unmatched_boxes, near_rows, competitors]
 
 
 def _fold_sql(view: str, keys: str, rank: str, like: str) -> str:
@@ -274,11 +280,13 @@ SELECT image_id, d.det_no AS det_no, CAST(row_number() OVER (PARTITION BY image_
     "hint_admission": X.with_views("det") + f",\n{_fold_sql('det', 'image_id', 'det_no', _iou_at(0.8))} SELECT image_id, d.det_no AS det_no FROM kept",
     "unmatched_boxes": X.with_views("det") + f"""
 SELECT image_id, det_no FROM det a WHERE query_type = 'locator' AND NOT EXISTS (SELECT 1 FROM det b WHERE b.image_id = a.image_id AND b.query_type = 'category' AND {X.iou('a', 'b')} >= 0.5)""",
-    "competitors": X.with_views("det", "size") + f""", p AS (SELECT a.image_id, a.det_no, b.det_no AS other, a.category = b.category OR a.grounder = b.grounder OR a.query_type = b.query_type AS shared,
+    "near_rows": X.with_views("det", "size") + f""", p AS (SELECT a.image_id, a.det_no, b.det_no AS other,
     greatest({X.containment('a', 'b')}, {X.containment('b', 'a')}) >= 0.6 AS over,
     ((b.x1 + b.x2) / 2 - (a.x1 + a.x2) / 2) / width * (((b.x1 + b.x2) / 2 - (a.x1 + a.x2) / 2) / width) + ((b.y1 + b.y2) / 2 - (a.y1 + a.y2) / 2) / height * (((b.y1 + b.y2) / 2 - (a.y1 + a.y2) / 2) / height) AS dist
     FROM det a JOIN det b ON a.image_id = b.image_id AND a.det_no <> b.det_no JOIN size s ON s.image_id = a.image_id),
   n AS (SELECT *, row_number() OVER (PARTITION BY image_id, det_no ORDER BY dist, other) AS k FROM p)
-SELECT image_id, det_no, other, CASE WHEN shared THEN 0 ELSE 1 END AS priority,
-  CAST(row_number() OVER (PARTITION BY image_id, det_no ORDER BY CASE WHEN shared THEN 0 ELSE 1 END, dist, other) AS INT) AS place FROM n WHERE shared OR over OR k <= 2""",
+SELECT image_id, det_no, other, CAST(row_number() OVER (PARTITION BY image_id, det_no ORDER BY dist, other) AS INT) AS place FROM n WHERE over OR k <= 2""",
+    "competitors": X.with_views("det") + """, c AS (SELECT image_id, det_no, 'category' AS kind, category AS value FROM det
+    UNION ALL SELECT image_id, det_no, 'word', grounder FROM det UNION ALL SELECT image_id, det_no, 'word', query_type FROM det)
+SELECT image_id, det_no, kind, value, count(*) OVER (PARTITION BY image_id, kind, value) - 1 AS others FROM c""",
 }

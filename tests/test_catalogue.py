@@ -42,7 +42,7 @@ def test_query(spark, data, sql, name):
 
 
 def test_no_cross_joins(spark, data):
-    for name in ("pair_match", "duplicate_suspects", "unmatched_boxes", "competitors", "box_metrics"):
+    for name in ("pair_match", "duplicate_suspects", "unmatched_boxes", "competitors", "near_rows", "geometry_audit", "box_metrics"):
         plan = catalogue.queries()[name](spark, data)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 

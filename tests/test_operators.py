@@ -459,3 +459,26 @@ def test_summaries_prefer_a_matching_tight_box(spark):
     r = consensus.summaries(df, ["k"], "i").first()
     assert (r["support"], r["members"], r["x1"], r["x2"], r["method"], r["detectors"]) == (3, 3, 1.0, 9.0, "mask_tight", ["sam31", "x", "y"])
     assert math.isclose(r["mean_score"], 0.7) and r["matched_pairs"] == 3
+
+
+@pytest.mark.parametrize("spread", [1.0, 4000.0])
+def test_nearest_rows_equal_brute_force(spark, spread):
+    rng = random.Random(21)
+    points = [(k, i, rng.choice([5.0, rng.gauss(0, 1) * spread, rng.uniform(0, 90)]), rng.uniform(0, 90)) for i in range(90) for k in (1, 2, 3) if k < 3 or i < 3]
+    points += [(4, 1, 0.0, 0.0), (5, 1, 2.0, 2.0), (5, 2, 2.0, 2.0)]
+    df = spark.createDataFrame([(k, i, x, y, x + 2, y + 2, 100, 50) for k, i, x, y in points] + [(1, 999, None, 0.0, 1.0, 1.0, 100, 50)], "k int, i int, x1 double, y1 double, x2 double, y2 double, width int, height int")
+    got = {}
+    for r in spatial.nearest(df, "k", "i", 4).collect():
+        got.setdefault((r["k"], r["i"]), set()).add(r["other"])
+    for k, i, x, y in points:
+        others = sorted((((u - x) / 100) ** 2 + ((v - y) / 50) ** 2, j) for g, j, u, v in points if g == k and j != i)
+        kth = others[: 4][-1][0] if others else 0
+        sure = {j for d, j in others[:4] if d < kth * (1 - 1e-9)}
+        mine = got.get((k, i), set())
+        assert len(mine) == min(4, len(others)) and sure <= mine <= {j for d, j in others if d <= kth * (1 + 1e-9)}, (k, i)
+
+
+def test_peer_classes_are_told_by_size(spark):
+    df = spark.createDataFrame([(1, 1, "a", ["x", "y"]), (1, 2, "a", ["y", "y"]), (1, 3, None, None), (2, 1, "a", [""])], "k int, i int, category string, words array<string>")
+    got = {tuple(r) for r in spatial.peer_classes(df, "k", "i", {"category": F.array("category"), "word": F.col("words")}).collect()}
+    assert got == {(1, 1, "category", "a", 1), (1, 2, "category", "a", 1), (1, 1, "word", "x", 0), (1, 1, "word", "y", 1), (1, 2, "word", "y", 1), (2, 1, "category", "a", 0)}
