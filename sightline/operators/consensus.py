@@ -32,8 +32,10 @@ class Rules:
 
 
 def thinned(detections: DataFrame, keys: list[str], row: str, rules: Rules = Rules()) -> DataFrame:
-    """Detections without near-copies from the same detector. Locator results come first, then scored ones by score."""
-    order = [(F.col("query_type") == "locator").desc_nulls_last(), F.col("score").isNotNull().desc(), F.coalesce("score", F.lit(0.0)).desc(), F.col(row)]
+    """Detections without near-copies from the same detector. Locator results come first, then scored ones by score, then
+    those with a mask (where there is a column tx1), then the earliest row."""
+    masked = [F.col("tx1").isNotNull().desc()] if "tx1" in detections.columns else []
+    order = [(F.col("query_type") == "locator").desc_nulls_last(), F.col("score").isNotNull().desc(), F.coalesce("score", F.lit(0.0)).desc(), *masked, F.col(row)]
     ranked = detections.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "grounder").orderBy(*order)))
     return suppress(ranked, [*keys, "grounder"], "_rank", rules.within_detector_iou).drop("_rank")
 

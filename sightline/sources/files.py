@@ -49,7 +49,8 @@ def with_ordinals(spark: SparkSession, path: str, *columns: str) -> DataFrame:
 
 
 def parquet_profile(spark: SparkSession, path: str) -> DataFrame:
-    """file, row_groups, rows, bytes, columns of every Parquet file under ``path``; footers are read by the tasks."""
+    """file, row_groups, rows, bytes, columns, types ('name:type, ...') of every Parquet file under ``path``; footers are
+    read by the tasks."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path", F.col("length").alias("bytes"))
 
     def read(batches):
@@ -61,13 +62,14 @@ def parquet_profile(spark: SparkSession, path: str) -> DataFrame:
             for uri, size in zip(batch["path"], batch["bytes"]):
                 fs, where = pafs.FileSystem.from_uri(uri)
                 with fs.open_input_file(where) as f:
-                    m = pq.ParquetFile(f).metadata
-                out.append((uri.rsplit("/", 1)[-1], m.num_row_groups, m.num_rows, int(size), m.num_columns))
+                    source = pq.ParquetFile(f)
+                    m, fields = source.metadata, source.schema_arrow
+                out.append((uri.rsplit("/", 1)[-1], m.num_row_groups, m.num_rows, int(size), m.num_columns, ", ".join(f"{x.name}:{x.type}" for x in fields)))
             import pandas as pd
 
-            yield pd.DataFrame(out, columns=["file", "row_groups", "rows", "bytes", "columns"])
+            yield pd.DataFrame(out, columns=["file", "row_groups", "rows", "bytes", "columns", "types"])
 
-    return files.mapInPandas(read, "file string, row_groups int, rows bigint, bytes bigint, columns int")
+    return files.mapInPandas(read, "file string, row_groups int, rows bigint, bytes bigint, columns int, types string")
 
 
 def column_roles(df: DataFrame, candidates: dict[str, list[str]]) -> dict[str, str | None]:

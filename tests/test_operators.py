@@ -482,3 +482,23 @@ def test_peer_classes_are_told_by_size(spark):
     df = spark.createDataFrame([(1, 1, "a", ["x", "y"]), (1, 2, "a", ["y", "y"]), (1, 3, None, None), (2, 1, "a", [""])], "k int, i int, category string, words array<string>")
     got = {tuple(r) for r in spatial.peer_classes(df, "k", "i", {"category": F.array("category"), "word": F.col("words")}).collect()}
     assert got == {(1, 1, "category", "a", 1), (1, 2, "category", "a", 1), (1, 1, "word", "x", 0), (1, 1, "word", "y", 1), (1, 2, "word", "y", 1), (2, 1, "category", "a", 0)}
+
+
+def test_altered_snapshots_are_told(spark, tmp_path):
+    from sightline.sources import sinks
+
+    df = lambda rows: spark.createDataFrame(rows, "k int, s string")
+    path = f"file://{tmp_path}/snap"
+    one, two = df([(1, "a"), (2, "b")]), df([(1, "a"), (3, "c")])
+    sinks.commit_snapshot(spark, one, None, ["k"], "s", path, 1)
+    assert sinks.commit_snapshot(spark, two, one, ["k"], "s", path, 2) == {"added": 1, "removed": 1}
+    assert sorted((r["k"], r["s"]) for r in sinks.restore_snapshot(spark, path, 2, ["k"]).collect()) == [(1, "a"), (3, "c")]
+    sinks.commit_snapshot(spark, df([(1, "a"), (2, "x")]), None, ["k"], "s", path, 1)  # the first version written anew, otherwise
+    with pytest.raises(ValueError, match="snapshot 2"):
+        sinks.restore_snapshot(spark, path, 2, ["k"])
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from sightline.session import is_local
+
+    assert is_local("local[4]") and is_local("local") and not is_local("local-cluster[3,2,900]") and not is_local("spark://host:7077") and not is_local("yarn")
