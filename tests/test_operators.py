@@ -502,3 +502,30 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     from sightline.session import is_local
 
     assert is_local("local[4]") and is_local("local") and not is_local("local-cluster[3,2,900]") and not is_local("spark://host:7077") and not is_local("yarn")
+
+
+def test_new_operators_of_nothing_and_nulls(spark):
+    from sightline.operators import delivery, inference
+
+    boxes = "k int, i int, x1 double, y1 double, x2 double, y2 double, width int, height int"
+    none = spark.createDataFrame([], boxes)
+    assert spatial.nearest(none, "k", "i", 3).count() == spatial.near_rows(none, "k", "i").count() == 0
+    assert consensus.geometry_audit(none, none, ["k"], "i").count() == 0
+    target = spark.createDataFrame([(1, 1, 0.0, 0.0, 9.0, 9.0, 50, 50), (None, 2, 0.0, 0.0, 9.0, 9.0, 50, 50), (3, 3, None, 0.0, 9.0, 9.0, 50, 50)], boxes)
+    audit = {r["i"]: (r["box_count"], r["passed"], r["reason"]) for r in consensus.geometry_audit(target, target.filter("i <> 2"), ["k"], "i").collect()}
+    assert audit == {1: (1, True, None), 2: (0, False, "no_valid_locator_box"), 3: (1, False, "locator_target_disagreement")}
+    assert [r["i"] for r in delivery.inserted(target.unionByName(target), none, ["k"], ["i"]).orderBy("i").collect()] == [1, 2]
+    assert folds.greedy(none, ["k"], "i", 0.5).count() == folds.greedy(none, ["k"], "i", 0.5, fold_rows=0).count() == 0
+    found, markers = inference.ground(none.withColumnRenamed("i", "request_id"), ["k"], lambda batch: [])
+    assert found.count() == markers.count() == 0
+    state = spark.createDataFrame([], "id int, needed int, n int")
+    assert relational.drained(state, F.col("n") < F.col("needed"), lambda d: d, 2).count() == 0
+    rows = spark.createDataFrame([(None, 1, 1.0), (None, 2, None), (1, 1, 1.0)], "k int, i int, v double")
+    assert relational.stale(rows, rows, ["k"], "i", "v").count() == 0
+    assert sorted((r["k"] or 0, r["i"]) for r in relational.stale(rows, rows.filter("i = 1"), ["k"], "i", "v").collect()) == [(0, 1), (0, 2)]
+    images = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "image_id string")
+    objects = spark.createDataFrame([("a", "verified", "the x", None), ("a", None, None, None), ("a", "unresolved", "y", "r" * 2000)], "image_id string, status string, phrase string, reason string")
+    empty = spark.createDataFrame([], "image_id string, open int, status string, reason string")
+    six = delivery.fan_out(objects, empty, empty, images)
+    assert sorted((r["image_id"] or "", r["final_count"], r["object_count"], r["unresolved_count"]) for r in six["counts_by_image"].collect()) == [("", 0, 0, 0), ("a", 1, 3, 2), ("b", 0, 0, 0)]
+    assert sorted(len(r["reason"]) for r in six["unresolved"].collect()) == [len("no_phrase_before_search_drain_completed"), 1200]
