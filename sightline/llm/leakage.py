@@ -167,14 +167,23 @@ def postings(row_no: pa.Array, doc_id: pa.Array, text: pa.Array, wanted: np.ndar
     return pa.record_batch([pa.array(term[first]), row_no.take(rows), doc_id.take(rows), positions], names=["term", "row_no", "doc_id", "positions"])
 
 
+def by_bytes(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """``batch`` in consecutive parts of about ``limit`` bytes of text, so that a few very long texts stand alone."""
+    sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy().astype(np.int64)
+    part = np.cumsum(sizes) // limit
+    starts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(batch)]
+    for a, z in zip(starts, starts[1:]):
+        if z > a:
+            yield batch.slice(a, z - a)
+
+
 def build_index(documents: DataFrame, wanted: np.ndarray) -> DataFrame:
     """Stored postings of the terms in the bit field: term, row_no, doc_id, positions. Rows are told apart by row_no."""
     shared = documents.sparkSession.sparkContext.broadcast(np.packbits(wanted, bitorder="little"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, len(batch), 1000):
-                part = batch.slice(k, 1000)
+            for part in by_bytes(batch, "text"):
                 yield postings(part["row_no"], part["doc_id"], part["text"], shared.value)
 
     rows = documents.filter("text is not null").select(F.monotonically_increasing_id().alias("row_no"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")

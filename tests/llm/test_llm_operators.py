@@ -371,6 +371,13 @@ def test_postings_of_a_batch():
     assert rows == {("a", 8, 2, (1,)), ("b", 8, 2, (0, 2)), ("a", 10, None, (0,))}
 
 
+def test_batches_are_parted_by_bytes():
+    batch = pa.record_batch([pa.array(["x" * 10, None, "y" * 90, "", "z" * 300, "w"])], names=["text"])
+    parts = list(leakage.by_bytes(batch, "text", 100))
+    assert [x for p in parts for x in p["text"].to_pylist()] == batch["text"].to_pylist() and len(parts) >= 3
+    assert list(leakage.by_bytes(batch.slice(0, 0), "text", 100)) == []
+
+
 # --- mixing
 
 
